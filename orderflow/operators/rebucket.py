@@ -3,6 +3,10 @@
 A movement on day D of reference R is booked on the first release date of R at
 or after D; when R has no later release it goes to the campaign's last
 movement date.  Only campaigns with releases on references are re-bucketed.
+
+The buckets of a campaign are its release dates plus its last movement date
+(the row of any reference on the last date can only be booked there), so the
+re-bucketed table is computed from the flows themselves, not from the grid.
 """
 
 from __future__ import annotations
@@ -10,46 +14,69 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.functions.exprs import CAMPAIGN, RFC, fsum0
+from orderflow.functions.exprs import CAMPAIGN, fsum0
 from orderflow.operators.byref import FLOWS
 from orderflow.operators.grid import GRID_KEYS, measures_by_family, with_running_totals
 
 
+def last_movement_date(dates: DataFrame) -> DataFrame:
+    return dates.groupBy(*CAMPAIGN).agg(F.max("Date").alias("_last_date"))
+
+
 def next_release_date(on_grid: DataFrame, dates: DataFrame, flags: DataFrame) -> DataFrame:
     """Grid rows with the release date they are booked on (``DateDeblocage``).
 
     The next release at or after a row is the running minimum of release dates
     walking the dates backwards: a frame from the start of a descending order,
-    so the window is evaluated in one pass (no unbounded-following frame)."""
-    last_date = dates.groupBy(*CAMPAIGN).agg(F.max("Date").alias("_last_date"))
+    evaluated in one pass (no unbounded-following frame)."""
     scope = flags.filter(F.col("has_release_ref")).select(*CAMPAIGN)
     backwards = (Window.partitionBy(*GRID_KEYS).orderBy(F.col("Date").desc())
                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     nxt = F.min("DateDeblocage").over(backwards)
     return (on_grid.join(scope, CAMPAIGN, "left_semi")
-            .join(last_date, CAMPAIGN)
-            .select(*GRID_KEYS, "Date", F.coalesce(nxt, F.col("_last_date")).alias("DateDeblocage"),
-                    *[c for _, c in measures_by_family()]))
-
-
-def by_release_date(booked: DataFrame, flags: DataFrame) -> DataFrame:
-    """Sums by (reference, release date) on the full grid references x release
-    dates of the campaign (0 where nothing was booked), then running totals.
-
-    Every release date of a campaign is one of its movement dates, so the grid
-    already holds a row for each (reference, release date): a row emits its
-    measures to its bucket and, when its own date is a bucket, an empty entry
-    for itself.  All of it stays within (campaign, reference) partitions."""
-    buckets = booked.select(*CAMPAIGN, F.col("DateDeblocage").alias("Date")).distinct() \
-        .withColumn("_is_bucket", F.lit(True))
-    cols = [c for _, c in measures_by_family()]
-    flagged = booked.join(buckets, [*CAMPAIGN, "Date"], "left")
-    to_bucket = flagged.select(*GRID_KEYS, F.col("DateDeblocage").alias("_b"), *cols)
-    own = flagged.filter(F.col("_is_bucket")).select(
-        *GRID_KEYS, F.col("Date").alias("_b"), *[F.lit(None).cast("double").alias(c) for c in cols])
-    sums = (to_bucket.unionByName(own)
-            .groupBy(*GRID_KEYS, "_b").agg(*[fsum0(c).alias(c) for c in cols])
-            .withColumnRenamed("_b", "DateDeblocage"))
+            .join(last_movement_date(dates), CAMPAIGN)
+            .select(*GRID_KEYS, "Date", F.coalesce(nxt, F.col("_last_date")).alias("DateDeblocage")))
+
+
+def release_buckets(flows_long: DataFrame, dates: DataFrame, flags: DataFrame) -> DataFrame:
+    """(campaign, bucket date) for campaigns with releases on references."""
+    scope = flags.filter(F.col("has_release_ref")).select(*CAMPAIGN)
+    releases = flows_long.filter(F.col("kind") == F.lit("release")).select(*CAMPAIGN, F.col("Date").alias("_b"))
+    last = last_movement_date(dates).select(*CAMPAIGN, F.col("_last_date").alias("_b"))
+    return releases.unionByName(last).distinct().join(scope, CAMPAIGN, "left_semi")
+
+
+def booked_flows(flows_long: DataFrame, dates: DataFrame, flags: DataFrame,
+                 partitions: int | None = None) -> DataFrame:
+    """By-reference flow rows with their bucket ``_b``: the smallest release
+    date of the same reference at or after the row's date (same day
+    included), else the campaign's last movement date."""
+    scope = flags.filter(F.col("has_release_ref")).select(*CAMPAIGN)
+    cols = [F.col(c) for c in GRID_KEYS]
+    rows = flows_long.join(scope, CAMPAIGN, "left_semi")
+    rows = rows.repartition(partitions, *cols) if partitions else rows.repartition(*cols)
+    backwards = (Window.partitionBy(*GRID_KEYS).orderBy(F.col("Date").desc())
+                 .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    nxt = F.min(F.when(F.col("kind") == F.lit("release"), F.col("Date"))).over(backwards)
+    return (rows.join(last_movement_date(dates), CAMPAIGN)
+            .select(*GRID_KEYS, "kind", "q", "m", F.coalesce(nxt, F.col("_last_date")).alias("_b")))
+
+
+def by_release_date(universe: DataFrame, buckets: DataFrame, booked: DataFrame, flags: DataFrame,
+                    partitions: int | None = None) -> DataFrame:
+    """Sums by (reference, release date) over every reference x every bucket
+    of the campaign (0 where nothing was booked), then running totals."""
+    frame = (universe.join(buckets, CAMPAIGN)
+             .select(*GRID_KEYS, "_b", F.lit(None).cast("string").alias("kind"),
+                     F.lit(None).cast("double").alias("q"), F.lit(None).cast("double").alias("m")))
+    cols = [F.col(c) for c in GRID_KEYS]
+    union = frame.unionByName(booked.select(*GRID_KEYS, "_b", "kind", "q", "m"))
+    union = union.repartition(partitions, *cols) if partitions else union.repartition(*cols)
+    aggs = []
+    for fam, (_, qty, amt) in FLOWS.items():
+        is_fam = F.col("kind") == F.lit(fam)
+        aggs += [fsum0(F.when(is_fam, F.col("q"))).alias(qty), fsum0(F.when(is_fam, F.col("m"))).alias(amt)]
+    sums = union.groupBy(*GRID_KEYS, "_b").agg(*aggs).withColumnRenamed("_b", "DateDeblocage")
     flag_cols = [F.col(f"has_{fam}_ref") for fam in FLOWS]
     filled = (sums.join(flags.select(*CAMPAIGN, *flag_cols), CAMPAIGN)
               .select(*GRID_KEYS, "DateDeblocage",

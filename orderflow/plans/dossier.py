@@ -38,6 +38,9 @@ QUERY_KEYS = [
     "receipts_with_catalogue", "shipments_with_catalogue", "duplicate_release_alerts",
 ]
 
+# Outputs written by the sink job that are not separate queries.
+SINK_ONLY_KEYS = ["campaigns_produced"]
+
 
 class Dossier:
     def __init__(self, tables: DomainTables, materialize_status: bool = True,
@@ -63,7 +66,7 @@ class Dossier:
         return df.join(self.per_campaign(ok), CAMPAIGN, "left_semi")
 
     def query(self, key: str) -> DataFrame:
-        if key not in QUERY_KEYS:
+        if key not in QUERY_KEYS and key not in SINK_ONLY_KEYS:
             raise KeyError(key)
         return getattr(self, key)
 
@@ -78,7 +81,13 @@ class Dossier:
 
     @cached_property
     def article_ref_map(self) -> DataFrame:
-        return refmap.article_ref_map(self.t.article, self.t.couleur, self.t.article_pack)
+        """Article dimension -> references; checkpointed once (a dimension,
+        read by every flow) so no plan recomputes its joins."""
+        out = refmap.article_ref_map(self.t.article, self.t.couleur, self.t.article_pack)
+        if self.materialize_status:
+            ensure_checkpoint_dir(self.spark)
+            out = out.checkpoint(eager=True)
+        return out
 
     @cached_property
     def lookup(self) -> DataFrame:
@@ -126,6 +135,11 @@ class Dossier:
             out = out.checkpoint(eager=True)
         return out
 
+    @cached_property
+    def campaigns_produced(self) -> DataFrame:
+        """Parameter rows of the campaigns whose dossier is produced."""
+        return self.scoped(self.catalogues)
+
     @cached_property
     def campaign_status(self) -> DataFrame:
         return self.status
@@ -255,17 +269,15 @@ class Dossier:
         return byref.with_pct(self.cumulative_by_date, self.totals, cumulative=True)
 
     # ---- re-bucketing ----------------------------------------------------
-    @cached_property
-    def _booked(self) -> DataFrame:
-        return rebucket.next_release_date(self.movements_on_grid, self.movement_dates, self.flags)
-
     @cached_property
     def next_release_date(self) -> DataFrame:
-        return self._booked.select(*grid.GRID_KEYS, "Date", "DateDeblocage")
+        return rebucket.next_release_date(self.movements_on_grid, self.movement_dates, self.flags)
 
     @cached_property
     def by_release_date(self) -> DataFrame:
-        return rebucket.by_release_date(self._booked, self.flags)
+        buckets = rebucket.release_buckets(self._flows_long, self.movement_dates, self.flags)
+        booked = rebucket.booked_flows(self._flows_long, self.movement_dates, self.flags, self.grid_partitions)
+        return rebucket.by_release_date(self.ref_universe, buckets, booked, self.flags, self.grid_partitions)
 
     @cached_property
     def pct_cum_by_release_date(self) -> DataFrame:

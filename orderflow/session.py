@@ -23,6 +23,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     """Session for tests and local runs (on a cluster, use the cluster's)."""
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", driver_memory)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for key, value in {**ENGINE_CONF, **(extra or {})}.items():
