@@ -1,0 +1,60 @@
+import os
+import sys
+from datetime import date, datetime
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from orderflow.plans.dossier import Dossier  # noqa: E402
+from orderflow.session import build_session, ensure_checkpoint_dir  # noqa: E402
+from orderflow.sources.tables import tables_from_rows  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    s = build_session("local[*]", shuffle_partitions=8, driver_memory="4g")
+    ensure_checkpoint_dir(s)
+    yield s
+    s.stop()
+
+
+def d(day: int, month: int = 1) -> date:
+    return date(2024, month, day)
+
+
+def ts(day: int, hour: int = 0) -> datetime:
+    return datetime(2024, 1, day, hour)
+
+
+def golden_rows() -> dict:
+    """The mini-case of FIXTURES.md §2: campaign (B1, S1), catalogue 10."""
+    return dict(
+        campaigns=[("B1", "S1", 10)],
+        article=[("A1", None, "F", "PIECE", "R1", 1), ("A2", None, "F", "PIECE", "R2", 1),
+                 ("P1", None, "F", "PACK", None, 3)],
+        couleur=[("A1", "red")],
+        article_pack=[("P1", "A1"), ("P1", "A2")],
+        commande_achat=[("PO1", 10, "A1", ts(4), 100.0, 2.0, 10), ("PO1", 10, "P1", ts(4), 10.0, 9.0, 10),
+                        ("PO2", 10, "A2", ts(20), 50.0, 1.0, 10), ("PO2", 10, "A2", ts(20), 999.0, 1.0, 99)],
+        commande_vente=[("SO1", 10, "A1", 20.0, 10)],
+        mouvement=[(25, "PO1", "A1", ts(5), 60.0, 2.0), (25, "PO1", "A1", ts(5), 10.0, 2.0),
+                   (25, "PO1", "A1", ts(12), 30.0, 2.0), (25, "PO1", "P1", ts(12), 10.0, 9.0),
+                   (25, "PO2", "A2", ts(21), 50.0, 1.0), (25, "PO1", "A1", None, 5.0, 2.0),
+                   (31, "SO1", "A1", ts(15), -20.0, 2.0), (31, "SO1", "A1", None, -3.0, 2.0),
+                   (40, "PO1", "A1", ts(3), 7.0, 0.0)],
+        releases=[("B1", "S1", "PO1", "R1-red", d(1), 80.0), ("B1", "S1", "PO1", "R1-red", d(10), 20.0)],
+        cancellations=[("B1", "S1", "PO2", "R2", 5.0)],
+    )
+
+
+@pytest.fixture(scope="session")
+def golden(spark):
+    return Dossier(tables_from_rows(spark, **golden_rows()))
+
+
+def rows(df, *cols):
+    """Sorted list of tuples of the given columns (all when none given)."""
+    cols = cols or tuple(df.columns)
+    return sorted((tuple(r) for r in df.select(*cols).collect()),
+                  key=lambda t: tuple((v is None, v if v is not None else 0) for v in t))
