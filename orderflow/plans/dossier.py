@@ -5,8 +5,11 @@ output.  Nothing runs until an action, except two small, bounded steps:
 
 * the number of campaigns is counted once (the parameter table), which decides
   whether per-campaign tables (one row per campaign) may be broadcast;
-* the campaign status table (one row per campaign) is checkpointed once, so
-  every output filters on it without recomputing the flows it is derived from.
+* three shared intermediates are checkpointed once (reliable checkpoint in
+  ``spark.checkpoint.dir``): the campaign status table (one row per
+  campaign, filtered on by every output), the article -> reference map (a
+  dimension joined to every flow) and the by-reference flows (read three
+  times by the grid).
 """
 
 from __future__ import annotations
@@ -43,11 +46,11 @@ SINK_ONLY_KEYS = ["campaigns_produced"]
 
 
 class Dossier:
-    def __init__(self, tables: DomainTables, materialize_status: bool = True,
+    def __init__(self, tables: DomainTables, materialize: bool = True,
                  grid_partitions: int | None = None):
         self.t = tables
         self.spark = tables.campaigns.sparkSession
-        self.materialize_status = materialize_status
+        self.materialize = materialize
         self.grid_partitions = grid_partitions
 
     # ---- helpers -------------------------------------------------------
@@ -65,6 +68,14 @@ class Dossier:
         ok = self.status.filter(F.col("status") == F.lit("ok")).select(*CAMPAIGN)
         return df.join(self.per_campaign(ok), CAMPAIGN, "left_semi")
 
+    def _materialized(self, df: DataFrame) -> DataFrame:
+        """Reliable checkpoint in the session's checkpoint folder (lineage cut,
+        survives executor loss); a no-op when materialisation is off."""
+        if not self.materialize:
+            return df
+        ensure_checkpoint_dir(self.spark)
+        return df.checkpoint(eager=True)
+
     def query(self, key: str) -> DataFrame:
         if key not in QUERY_KEYS and key not in SINK_ONLY_KEYS:
             raise KeyError(key)
@@ -83,11 +94,7 @@ class Dossier:
     def article_ref_map(self) -> DataFrame:
         """Article dimension -> references; checkpointed once (a dimension,
         read by every flow) so no plan recomputes its joins."""
-        out = refmap.article_ref_map(self.t.article, self.t.couleur, self.t.article_pack)
-        if self.materialize_status:
-            ensure_checkpoint_dir(self.spark)
-            out = out.checkpoint(eager=True)
-        return out
+        return self._materialized(refmap.article_ref_map(self.t.article, self.t.couleur, self.t.article_pack))
 
     @cached_property
     def lookup(self) -> DataFrame:
@@ -129,11 +136,7 @@ class Dossier:
     def status(self) -> DataFrame:
         flags = campaign.campaign_flags(self._purchases_all, self._releases_all, self._cancellations_all,
                                         self._receipts_all, self._shipments_all, self.lookup)
-        out = campaign.campaign_status(self.catalogues, flags)
-        if self.materialize_status:
-            ensure_checkpoint_dir(self.spark)
-            out = out.checkpoint(eager=True)
-        return out
+        return self._materialized(campaign.campaign_status(self.catalogues, flags))
 
     @cached_property
     def campaigns_produced(self) -> DataFrame:
@@ -209,15 +212,15 @@ class Dossier:
 
     @cached_property
     def releases_by_ref_date(self) -> DataFrame:
-        return byref.flow_by_ref_date(self.releases_valued, self.lookup)
+        return byref.family_by_ref_date(self._flows_long, "release")
 
     @cached_property
     def receipts_by_ref_date(self) -> DataFrame:
-        return byref.flow_by_ref_date(self.receipts_daily, self.lookup)
+        return byref.family_by_ref_date(self._flows_long, "receipt")
 
     @cached_property
     def shipments_by_ref_date(self) -> DataFrame:
-        return byref.flow_by_ref_date(self.shipments, self.lookup)
+        return byref.family_by_ref_date(self._flows_long, "shipment")
 
     @cached_property
     def pct_releases(self) -> DataFrame:
@@ -238,24 +241,25 @@ class Dossier:
                 "receipt": self._keyed(self.receipts_daily),
                 "shipment": self._keyed(self.shipments)}
 
+    @cached_property
+    def _flows_long(self) -> DataFrame:
+        """By-reference flows of all families.  Read three times by the grid
+        (references, dates, values), each time with other columns, which
+        defeats exchange reuse; so it is checkpointed once."""
+        return self._materialized(byref.flows_long(self._keyed_movements))
+
     @cached_property
     def ref_universe(self) -> DataFrame:
-        return grid.ref_universe([self._keyed(self.purchase_lines), *self._keyed_movements.values()])
+        return grid.ref_universe([self._keyed(self.purchase_lines), self._flows_long])
 
     @cached_property
     def movement_dates(self) -> DataFrame:
-        return grid.movement_dates(self._keyed_movements)
+        return grid.movement_dates(self._flows_long)
 
     @cached_property
     def ref_date_grid(self) -> DataFrame:
         return grid.ref_date_grid(self.ref_universe, self.movement_dates)
 
-    @cached_property
-    def _flows_long(self) -> DataFrame:
-        return grid.long_flows({"release": self.releases_by_ref_date,
-                                "receipt": self.receipts_by_ref_date,
-                                "shipment": self.shipments_by_ref_date})
-
     @cached_property
     def movements_on_grid(self) -> DataFrame:
         return grid.movements_on_grid(self.ref_date_grid, self._flows_long, self.grid_partitions)
