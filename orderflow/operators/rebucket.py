@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from orderflow.functions.exprs import CAMPAIGN, fsum0
 from orderflow.operators.byref import FLOWS
-from orderflow.operators.grid import GRID_KEYS, measures_by_family, with_running_totals
+from orderflow.operators.grid import GRID_KEYS, campaign_join, measures_by_family, with_running_totals
 
 
 def last_movement_date(dates: DataFrame) -> DataFrame:
@@ -63,10 +63,12 @@ def booked_flows(flows_long: DataFrame, dates: DataFrame, flags: DataFrame,
 
 
 def by_release_date(universe: DataFrame, buckets: DataFrame, booked: DataFrame, flags: DataFrame,
-                    partitions: int | None = None) -> DataFrame:
+                    partitions: int | None = None, broadcast_buckets: bool = False, salt: int = 32) -> DataFrame:
     """Sums by (reference, release date) over every reference x every bucket
-    of the campaign (0 where nothing was booked), then running totals."""
-    frame = (universe.join(buckets, CAMPAIGN)
+    of the campaign (0 where nothing was booked), then running totals.
+    Buckets are a subset of the movement dates, so the grid's size check
+    covers them."""
+    frame = (campaign_join(universe, buckets, broadcast_buckets, salt)
              .select(*GRID_KEYS, "_b", F.lit(None).cast("string").alias("kind"),
                      F.lit(None).cast("double").alias("q"), F.lit(None).cast("double").alias("m")))
     cols = [F.col(c) for c in GRID_KEYS]

@@ -26,6 +26,9 @@ from orderflow.sources.tables import DomainTables
 
 # Per-campaign tables are broadcast only below this many campaigns.
 MAX_BROADCAST_CAMPAIGNS = 200_000
+# The (campaign, day) table of movement dates is broadcast only below this
+# many rows; beyond it the grid join is salted.
+MAX_BROADCAST_DATES = 2_000_000
 
 QUERY_KEYS = [
     "campaigns", "campaign_status", "article_ref_map",
@@ -47,11 +50,12 @@ SINK_ONLY_KEYS = ["campaigns_produced"]
 
 class Dossier:
     def __init__(self, tables: DomainTables, materialize: bool = True,
-                 grid_partitions: int | None = None):
+                 grid_partitions: int | None = None, grid_salt: int = 32):
         self.t = tables
         self.spark = tables.campaigns.sparkSession
         self.materialize = materialize
         self.grid_partitions = grid_partitions
+        self.grid_salt = grid_salt
 
     # ---- helpers -------------------------------------------------------
     @cached_property
@@ -256,9 +260,15 @@ class Dossier:
     def movement_dates(self) -> DataFrame:
         return grid.movement_dates(self._flows_long)
 
+    @cached_property
+    def broadcast_dates(self) -> bool:
+        """Size check of the movement dates (a distinct over the checkpointed
+        flows, so cheap); without materialisation, never broadcast."""
+        return self.materialize and self.movement_dates.count() <= MAX_BROADCAST_DATES
+
     @cached_property
     def ref_date_grid(self) -> DataFrame:
-        return grid.ref_date_grid(self.ref_universe, self.movement_dates)
+        return grid.ref_date_grid(self.ref_universe, self.movement_dates, self.broadcast_dates, self.grid_salt)
 
     @cached_property
     def movements_on_grid(self) -> DataFrame:
@@ -281,7 +291,8 @@ class Dossier:
     def by_release_date(self) -> DataFrame:
         buckets = rebucket.release_buckets(self._flows_long, self.movement_dates, self.flags)
         booked = rebucket.booked_flows(self._flows_long, self.movement_dates, self.flags, self.grid_partitions)
-        return rebucket.by_release_date(self.ref_universe, buckets, booked, self.flags, self.grid_partitions)
+        return rebucket.by_release_date(self.ref_universe, buckets, booked, self.flags, self.grid_partitions,
+                                        self.broadcast_dates, self.grid_salt)
 
     @cached_property
     def pct_cum_by_release_date(self) -> DataFrame:

@@ -113,3 +113,11 @@ def test_campaign_independence(spark):
 def test_grid_module_has_no_cross_join_api():
     src = open(grid_ops.__file__).read()
     assert "crossJoin" not in src
+
+
+def test_salted_grid_equals_broadcast_grid(spark):
+    d = Dossier(domain_from_tpch(spark, SF))
+    a = grid_ops.ref_date_grid(d.ref_universe, d.movement_dates, broadcast_dates=True)
+    b = grid_ops.ref_date_grid(d.ref_universe, d.movement_dates, broadcast_dates=False, salt=7)
+    assert "BroadcastExchange" in plan_text(a)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
