@@ -26,6 +26,9 @@ from orderflow.sources.tables import DomainTables
 
 # Per-campaign tables are broadcast only below this many campaigns.
 MAX_BROADCAST_CAMPAIGNS = 200_000
+# The article -> reference lookup (one row per article and reference) is
+# broadcast only below this many rows; beyond it the planner / AQE decide.
+MAX_BROADCAST_LOOKUP = 5_000_000
 # The (campaign, day) table of movement dates is broadcast only below this
 # many rows; beyond it the grid join is salted.
 MAX_BROADCAST_DATES = 2_000_000
@@ -102,7 +105,13 @@ class Dossier:
 
     @cached_property
     def lookup(self) -> DataFrame:
-        return refmap.rfc_lookup(self.article_ref_map)
+        """(IDArticle, RFC) joined to every flow.  Counted (a scan of the
+        checkpointed map) and broadcast when within the limit, so the flows
+        are never shuffled on the article id for it."""
+        out = refmap.rfc_lookup(self.article_ref_map)
+        if self.materialize and self.article_ref_map.count() <= MAX_BROADCAST_LOOKUP:
+            return F.broadcast(out)
+        return out
 
     # ---- raw flows (all campaigns of the parameter table) ---------------
     @cached_property

@@ -56,10 +56,15 @@ def read_domain_tables(spark: SparkSession, root: str, fmt: str = "parquet",
     return DomainTables(**tables).conformed()
 
 
-def write_domain_tables(tables: DomainTables, root: str, mode: str = "overwrite") -> None:
-    """Persist domain tables as parquet (used to stage adapter output)."""
+def write_domain_tables(tables: DomainTables, root: str, mode: str = "overwrite",
+                        files: int | None = None) -> None:
+    """Persist domain tables as parquet (used to stage adapter output).
+    ``files`` spreads each table over that many files so scans split evenly."""
     for f in fields(tables):
-        getattr(tables, f.name).write.mode(mode).parquet(f"{root.rstrip('/')}/{f.name}")
+        df = getattr(tables, f.name)
+        if files:
+            df = df.repartition(files)
+        df.write.mode(mode).parquet(f"{root.rstrip('/')}/{f.name}")
 
 
 def tables_from_rows(spark: SparkSession, **rows) -> DomainTables:
