@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from orderflow.functions.exprs import CAMPAIGN
+from orderflow.functions.exprs import CAMPAIGN, RFC
 from orderflow.plans.dossier import Dossier
 
 # Sheet of the follow-up workbook -> dossier key.  Tables written first and
@@ -48,11 +48,21 @@ class SinkReport:
     tables: dict[str, str]
 
 
+# Second range key after the campaign: a big campaign is split into several
+# write tasks by it instead of landing in one task.
+SPLIT_COLUMNS = [RFC, "IDCommande", "IDCommandeAchat", "IDCommandeVente", "IDArticle"]
+
+
 def _write(df: DataFrame, path: str, partitioned: bool = True) -> None:
-    writer = df.write.mode("overwrite")
+    """Parquet, one folder per campaign.  Rows are range-partitioned on the
+    campaign then a high-cardinality column, so each write task covers a
+    contiguous run of campaigns (few files) and no campaign is one task."""
     if partitioned:
-        writer = writer.partitionBy(*CAMPAIGN)
-    writer.parquet(path)
+        split = [c for c in SPLIT_COLUMNS if c in df.columns][:1]
+        df = df.repartitionByRange(*CAMPAIGN, *split)
+        df.write.mode("overwrite").partitionBy(*CAMPAIGN).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def write_dossier(dossier: Dossier, root: str) -> SinkReport:
