@@ -22,13 +22,16 @@ def _tag(df: DataFrame, kind: str) -> DataFrame:
     return df.select(*CAMPAIGN, F.lit(kind).alias("kind"))
 
 
-def campaign_flags(purchases: DataFrame, releases_v: DataFrame, cancellations_v: DataFrame,
+def campaign_flags(purchases: DataFrame, releases: DataFrame, cancellations: DataFrame,
                    receipts: DataFrame, shipments_: DataFrame, lookup: DataFrame) -> DataFrame:
     """(campaign, has_<kind>...) for campaigns having at least one flow row.
 
-    Each family contributes one tag per row; the group-by on the campaign key
-    is combined map-side, so only (partitions x campaigns) rows are shuffled.
+    Releases and cancellations are taken as listed: valuing them is a left
+    join, which never removes a row, so the flags need no prices.  Each family
+    contributes one tag per row; the group-by on the campaign key is combined
+    map-side, so only (partitions x campaigns) rows are shuffled.
     """
+    releases_v, cancellations_v = releases, cancellations
     on_ref = lookup.filter(F.col(RFC).isNotNull()).select("IDArticle").distinct()
     tags = [
         _tag(purchases, "purchase"),

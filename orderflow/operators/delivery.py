@@ -20,6 +20,13 @@ from orderflow.functions.exprs import CAMPAIGN, RFC, drop_null_keys, fsum0, rati
 MICROS_PER_DAY = 86_400_000_000
 
 
+def _micros(c: F.Column) -> F.Column:
+    """Microseconds since 1970-01-01 of a wall-clock time (timestamp without
+    time zone), so the session time zone and its DST shifts play no part."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, c.cast("timestamp_ntz"))
+
+
 def _day_number(c: str) -> F.Column:
     return F.datediff(F.col(c), F.lit("1970-01-01").cast("date"))
 
@@ -78,9 +85,10 @@ def late_deliveries(purchases: DataFrame, receipts: DataFrame, lookup: DataFrame
              .groupBy(*key, *line_cols).agg(F.count(F.lit(1)).alias("n_line")))
     rec = receipts.select(*CAMPAIGN, F.col("IDCommande").alias("IDCommandeAchat"), "IDArticle",
                           "DateReception", "QuantiteReceptionPiece", "MontantReception")
-    # Time axis in microseconds; a line waits until expected + 24 h.
-    t_line = F.unix_micros(F.col("DateLivraisonAttendue").cast("timestamp")) + F.lit(MICROS_PER_DAY)
-    t_rec = F.unix_micros(F.col("DateReception").cast("timestamp"))
+    # Time axis in microseconds (wall-clock, no time zone); a line waits
+    # until expected + 24 h.
+    t_line = _micros(F.col("DateLivraisonAttendue")) + F.lit(MICROS_PER_DAY)
+    t_rec = _micros(F.col("DateReception"))
     null_line = [F.lit(None).cast(lines.schema[c].dataType).alias(c) for c in line_cols]
     timeline = (lines.select(*key, *line_cols, "n_line", t_line.alias("t"),
                              F.lit(None).cast("date").alias("DateReception"),

@@ -132,22 +132,10 @@ class Dossier:
         keys = orders.sales_order_keys(self._sales_all)
         return orders.shipments(self.t.mouvement, keys, self.t.article)
 
-    @cached_property
-    def _prices_all(self) -> DataFrame:
-        return valuation.purchase_price_by_ref(self._purchases_all, self.lookup)
-
-    @cached_property
-    def _releases_all(self) -> DataFrame:
-        return valuation.releases_valued(self.t.releases, self._prices_all)
-
-    @cached_property
-    def _cancellations_all(self) -> DataFrame:
-        return valuation.cancellations_valued(self.t.cancellations, self._prices_all)
-
     # ---- campaign status -------------------------------------------------
     @cached_property
     def status(self) -> DataFrame:
-        flags = campaign.campaign_flags(self._purchases_all, self._releases_all, self._cancellations_all,
+        flags = campaign.campaign_flags(self._purchases_all, self.t.releases, self.t.cancellations,
                                         self._receipts_all, self._shipments_all, self.lookup)
         return self._materialized(campaign.campaign_status(self.catalogues, flags))
 

@@ -136,3 +136,16 @@ def test_same_day_receipt_booked_on_that_release(spark):
     got = rows(dd.by_release_date, "DateDeblocage", "QuantiteReceptionPiece", "QuantiteDeblocagePiece")
     # buckets: the two release dates and the last movement date (01-05)
     assert got == [(d(1), 10.0, 10.0), (d(3), 0.0, 5.0), (d(5), 4.0, 0.0)]
+
+
+def test_lateness_ignores_session_time_zone(spark):
+    dd = dossier(spark, commande_achat=[("PO1", 10, "A1", datetime(2024, 3, 30), 10.0, 2.0, 10)],
+                 mouvement=[(25, "PO1", "A1", datetime(2024, 4, 2), 10.0, 2.0)],
+                 releases=[("B1", "S1", "PO1", "R1", d(29, 3), 10.0)])
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")  # DST starts 2024-03-31
+    try:
+        assert rows(dd.late_deliveries, "retard_moyen_pondere") == [(2.0,)]
+        assert rows(dd.release_to_receipt_delay, "delai_j") == [(3.0,)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
