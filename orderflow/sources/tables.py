@@ -45,11 +45,16 @@ def read_domain_tables(spark: SparkSession, root: str, fmt: str = "parquet",
     """Read the nine domain tables from ``root/<name>`` with explicit schemas.
 
     ``fmt`` is any Spark source (parquet, orc, csv, json); CSV needs
-    ``options={"header": "true"}``.  No schema inference.
+    ``options={"header": "true"}``.  No schema inference; text formats fail
+    on a malformed row unless another ``mode`` is given.
     """
+    opts = dict(options or {})
+    if fmt in ("csv", "json"):
+        # A malformed row stops the read instead of becoming nulls.
+        opts.setdefault("mode", "FAILFAST")
     tables = {}
     for name, schema in DOMAIN_SCHEMAS.items():
-        reader = spark.read.format(fmt).options(**(options or {}))
+        reader = spark.read.format(fmt).options(**opts)
         if fmt != "parquet":
             reader = reader.schema(schema)
         tables[name] = reader.load(f"{root.rstrip('/')}/{name}")

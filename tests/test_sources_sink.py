@@ -38,3 +38,16 @@ def test_write_dossier(spark):
     assert by_rel.count() == 6 and "pct_QuantiteReceptionPiece_cum" in by_rel.columns
     status = spark.read.parquet(f"{root}/campagnes_statut")
     assert [r.status for r in status.collect()] == ["ok"]
+
+
+def test_malformed_csv_row_fails(spark):
+    import pytest
+    root = tempfile.mkdtemp(prefix="bad-", dir="/tmp")
+    tables = tables_from_rows(spark, **golden_rows())
+    for name in DOMAIN_SCHEMAS:
+        getattr(tables, name).write.mode("overwrite").option("header", "true").csv(f"{root}/{name}")
+    with open(f"{root}/campaigns/bad.csv", "w") as f:
+        f.write("Marque,Saison,IDCatalogue\nB9,S9,not-a-number\n")
+    bad = read_domain_tables(spark, root, fmt="csv", options={"header": "true"})
+    with pytest.raises(Exception):
+        bad.campaigns.collect()
