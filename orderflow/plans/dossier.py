@@ -28,7 +28,7 @@ from orderflow.sources.tables import DomainTables
 MAX_BROADCAST_CAMPAIGNS = 200_000
 # The article -> reference lookup (one row per article and reference) is
 # broadcast only below this many rows; beyond it the planner / AQE decide.
-MAX_BROADCAST_LOOKUP = 5_000_000
+MAX_BROADCAST_LOOKUP = 2_000_000
 # The (campaign, day) table of movement dates is broadcast only below this
 # many rows; beyond it the grid join is salted.
 MAX_BROADCAST_DATES = 2_000_000
