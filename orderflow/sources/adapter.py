@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.operators.refmap import article_ref_map, rfc_lookup
+from orderflow.session import ensure_checkpoint_dir
 from orderflow.sources.tables import DomainTables
 
 TPCH_TABLES = ["region", "nation", "customer", "part", "orders", "lineitem"]
@@ -69,9 +70,19 @@ def lines(t: dict[str, DataFrame]) -> DataFrame:
          .otherwise(F.lit(10)).alias("Statut"))
 
 
-def domain_from_tpch(spark: SparkSession, sf_dir: str) -> DomainTables:
+def domain_from_tpch(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DomainTables:
+    """Domain tables derived from the test tables of ``sf_dir``.
+
+    ``line`` (the five-way join) feeds eight domain tables, each with other
+    columns and filters, so no exchange can be reused between them; with
+    ``materialize`` it is checkpointed once (reliable checkpoint in the
+    session's checkpoint folder) instead of being joined again in every
+    branch of every plan."""
     t = read_tpch(spark, sf_dir)
     line = lines(t)
+    if materialize:
+        ensure_checkpoint_dir(spark)
+        line = line.checkpoint(eager=True)
     part = t["part"]
     pk = F.col("p_partkey")
 
