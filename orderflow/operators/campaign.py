@@ -31,15 +31,14 @@ def campaign_flags(purchases: DataFrame, releases: DataFrame, cancellations: Dat
     contributes one tag per row; the group-by on the campaign key is combined
     map-side, so only (partitions x campaigns) rows are shuffled.
     """
-    releases_v, cancellations_v = releases, cancellations
     on_ref = lookup.filter(F.col(RFC).isNotNull()).select("IDArticle").distinct()
     tags = [
         _tag(purchases, "purchase"),
-        _tag(releases_v, "release"),
-        _tag(cancellations_v, "cancellation"),
+        _tag(releases, "release"),
+        _tag(cancellations, "cancellation"),
         _tag(receipts, "receipt"),
         _tag(shipments_, "shipment"),
-        _tag(releases_v.filter(F.col(RFC).isNotNull() & F.col("DateDeblocage").isNotNull()), "release_ref"),
+        _tag(releases.filter(F.col(RFC).isNotNull() & F.col("DateDeblocage").isNotNull()), "release_ref"),
         _tag(receipts.join(on_ref, "IDArticle", "left_semi"), "receipt_ref"),
         _tag(shipments_.filter(F.col("DateExpedition").isNotNull()).join(on_ref, "IDArticle", "left_semi"),
              "shipment_ref"),

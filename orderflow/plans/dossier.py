@@ -1,15 +1,16 @@
 """The dossier: every output of every campaign as a lazy DataFrame.
 
 ``Dossier(tables)`` wires the operators; ``dossier.query(key)`` returns one
-output.  Nothing runs until an action, except two small, bounded steps:
-
-* the number of campaigns is counted once (the parameter table), which decides
-  whether per-campaign tables (one row per campaign) may be broadcast;
-* three shared intermediates are checkpointed once (reliable checkpoint in
-  ``spark.checkpoint.dir``): the campaign status table (one row per
-  campaign, filtered on by every output), the article -> reference map (a
-  dimension joined to every flow) and the by-reference flows (read three
-  times by the grid).
+output.  Nothing runs until an action, except small, bounded steps taken the
+first time a plan needs them:
+
+* counts that decide broadcasts: campaigns (the parameter table), rows of the
+  checkpointed article -> reference map, (campaign, day) movement dates;
+* three reliable checkpoints in ``spark.checkpoint.dir``: the campaign status
+  (one row per campaign, filtered on by every output), the article ->
+  reference map (a dimension joined to every flow) and the by-reference flows
+  (read three times by the grid, each time with other columns, which defeats
+  exchange reuse).
 """
 
 from __future__ import annotations

@@ -34,11 +34,13 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, creating a local one only when unset.
+    """Return the checkpoint folder, creating a local one only when unset in
+    local mode.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when the session has none (local runs, tests) is a scratch folder
-    created.
+    is; a cluster session without it is an error (a machine-local folder would
+    not survive the loss of an executor).  Only a ``local[...]`` session with
+    no setting (tests, local runs) gets a scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,6 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         configured = tempfile.mkdtemp(prefix="orderflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
