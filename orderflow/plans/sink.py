@@ -9,6 +9,7 @@ of recomputing their lineage, and a lost executor only costs the stage it ran.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -38,9 +39,16 @@ DOSSIER_TABLES = {
     "prix_achat": "purchase_price_by_ref",
 }
 
-STAGED = ["article_ref_map", "purchase_lines", "sales_lines", "receipts_daily", "shipments",
-          "purchase_price_by_ref", "releases_valued", "cancellations_valued", "movements_on_grid"]
-
+# Shared inputs written first, by dependency level: the tables of one level
+# only read tables of earlier levels, so a level is written concurrently.
+STAGED_LEVELS = [
+    ["article_ref_map"],
+    ["purchase_lines", "sales_lines"],
+    ["receipts_daily", "shipments", "purchase_price_by_ref"],
+    ["releases_valued", "cancellations_valued"],
+    ["movements_on_grid"],
+]
+STAGED = [key for level in STAGED_LEVELS for key in level]
 
 @dataclass
 class SinkReport:
@@ -65,23 +73,30 @@ def _write(df: DataFrame, path: str, partitioned: bool = True) -> None:
         df.write.mode("overwrite").parquet(path)
 
 
-def write_dossier(dossier: Dossier, root: str) -> SinkReport:
+def write_dossier(dossier: Dossier, root: str, parallel_writes: int = 4) -> SinkReport:
+    """Write every table.  Shared inputs are written and read back first,
+    level by level; then every output plan is built on the driver thread (so
+    each checkpoint and size check runs once) and the independent writes are
+    submitted as concurrent Spark jobs (``parallel_writes`` at a time)."""
     spark = dossier.spark
     root = root.rstrip("/")
     _write(dossier.campaign_status, f"{root}/campagnes_statut", partitioned=False)
 
-    # Stage shared inputs, then point the dossier at the stored copies.
-    for key in STAGED:
-        path = f"{root}/_stage/{key}"
-        _write(dossier.query(key), path, partitioned=key != "article_ref_map")
-        stored = spark.read.parquet(path)
-        dossier.__dict__[key] = stored.select(*dossier.query(key).columns)
-        if key == "article_ref_map":
-            dossier.__dict__.pop("lookup", None)
-
-    written = {}
-    for sheet, key in DOSSIER_TABLES.items():
-        path = f"{root}/{sheet}"
-        _write(dossier.query(key), path)
-        written[sheet] = path
-    return SinkReport(root=root, tables=written)
+    # Stage shared inputs level by level, then point the dossier at the copies.
+    with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
+        for level in STAGED_LEVELS:
+            frames = {key: dossier.query(key) for key in level}
+            paths = {key: f"{root}/_stage/{key}" for key in level}
+            for future in [pool.submit(_write, frames[k], paths[k], k != "article_ref_map") for k in level]:
+                future.result()
+            for key in level:
+                dossier.__dict__[key] = spark.read.parquet(paths[key]).select(*frames[key].columns)
+                if key == "article_ref_map":
+                    dossier.__dict__.pop("lookup", None)
+
+    frames = {sheet: dossier.query(key) for sheet, key in DOSSIER_TABLES.items()}
+    paths = {sheet: f"{root}/{sheet}" for sheet in DOSSIER_TABLES}
+    with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
+        for future in [pool.submit(_write, frames[s], paths[s]) for s in frames]:
+            future.result()
+    return SinkReport(root=root, tables=paths)
