@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+The follow-up job this engine re-creates is a batch job: it reads order
+lines, movements and the hand-kept release / cancellation lists once and
+writes the dossier.  It has no event stream, watermark, event-time window or
+state kept between runs, so nothing here is built.  Re-running the batch job
+(``python -m orderflow``) on new data recomputes every campaign.
+"""
