@@ -40,16 +40,22 @@ def purchase_order_keys(purchases: DataFrame) -> DataFrame:
     return purchases.select(*CAMPAIGN, "IDCommandeAchat").dropna().distinct()
 
 
-def sales_lines(commande_vente: DataFrame, catalogues: DataFrame) -> DataFrame:
-    """Sales-order lines of the campaign catalogues summed by (order, catalogue,
-    article); SQL semantics: null keys form a group, a sum of nulls is null."""
-    keys = [*CAMPAIGN, "IDCommandeVente", "IDCatalogue", "IDArticle"]
+def sales_rows(commande_vente: DataFrame, catalogues: DataFrame) -> DataFrame:
+    """Sales-order lines of the campaign catalogues, not cancelled (ungrouped)."""
     return (commande_vente.filter(F.col("Statut") != F.lit(CANCELLED_STATUS))
-            .join(catalogues, "IDCatalogue")
-            .groupBy(*keys).agg(fsum("QuantiteCommandee").alias("QuantiteCommandee")))
+            .join(catalogues, "IDCatalogue"))
+
+
+def sales_lines(rows: DataFrame) -> DataFrame:
+    """Sales lines summed by (order, catalogue, article); SQL semantics: null
+    keys form a group, a sum of nulls is null."""
+    keys = [*CAMPAIGN, "IDCommandeVente", "IDCatalogue", "IDArticle"]
+    return rows.groupBy(*keys).agg(fsum("QuantiteCommandee").alias("QuantiteCommandee"))
 
 
 def sales_order_keys(sales: DataFrame) -> DataFrame:
+    """Distinct (campaign, sales order); the same set from grouped or
+    ungrouped lines, so callers pass the ungrouped rows (one shuffle less)."""
     return sales.select(*CAMPAIGN, "IDCommandeVente").dropna().distinct()
 
 

@@ -20,10 +20,11 @@ from orderflow.operators.grid import GRID_KEYS, campaign_join, measures_by_famil
 
 
 def last_movement_date(dates: DataFrame) -> DataFrame:
+    """(campaign, _last_date): one row per campaign; callers broadcast it."""
     return dates.groupBy(*CAMPAIGN).agg(F.max("Date").alias("_last_date"))
 
 
-def next_release_date(on_grid: DataFrame, dates: DataFrame, flags: DataFrame) -> DataFrame:
+def next_release_date(on_grid: DataFrame, last_date: DataFrame, flags: DataFrame) -> DataFrame:
     """Grid rows with the release date they are booked on (``DateDeblocage``).
 
     The next release at or after a row is the running minimum of release dates
@@ -34,19 +35,19 @@ def next_release_date(on_grid: DataFrame, dates: DataFrame, flags: DataFrame) ->
                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     nxt = F.min("DateDeblocage").over(backwards)
     return (on_grid.join(scope, CAMPAIGN, "left_semi")
-            .join(last_movement_date(dates), CAMPAIGN)
+            .join(last_date, CAMPAIGN)
             .select(*GRID_KEYS, "Date", F.coalesce(nxt, F.col("_last_date")).alias("DateDeblocage")))
 
 
-def release_buckets(flows_long: DataFrame, dates: DataFrame, flags: DataFrame) -> DataFrame:
+def release_buckets(flows_long: DataFrame, last_date: DataFrame, flags: DataFrame) -> DataFrame:
     """(campaign, bucket date) for campaigns with releases on references."""
     scope = flags.filter(F.col("has_release_ref")).select(*CAMPAIGN)
     releases = flows_long.filter(F.col("kind") == F.lit("release")).select(*CAMPAIGN, F.col("Date").alias("_b"))
-    last = last_movement_date(dates).select(*CAMPAIGN, F.col("_last_date").alias("_b"))
+    last = last_date.select(*CAMPAIGN, F.col("_last_date").alias("_b"))
     return releases.unionByName(last).distinct().join(scope, CAMPAIGN, "left_semi")
 
 
-def booked_flows(flows_long: DataFrame, dates: DataFrame, flags: DataFrame,
+def booked_flows(flows_long: DataFrame, last_date: DataFrame, flags: DataFrame,
                  partitions: int | None = None) -> DataFrame:
     """By-reference flow rows with their bucket ``_b``: the smallest release
     date of the same reference at or after the row's date (same day
@@ -58,7 +59,7 @@ def booked_flows(flows_long: DataFrame, dates: DataFrame, flags: DataFrame,
     backwards = (Window.partitionBy(*GRID_KEYS).orderBy(F.col("Date").desc())
                  .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     nxt = F.min(F.when(F.col("kind") == F.lit("release"), F.col("Date"))).over(backwards)
-    return (rows.join(last_movement_date(dates), CAMPAIGN)
+    return (rows.join(last_date, CAMPAIGN)
             .select(*GRID_KEYS, "kind", "q", "m", F.coalesce(nxt, F.col("_last_date")).alias("_b")))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,12 +24,15 @@ def _family_totals(df: DataFrame, qty: str, amount: str, prefix: str) -> DataFra
 
 
 def campaign_summary(scope: DataFrame, totals: DataFrame, receipts: DataFrame, shipments_: DataFrame,
-                     releases_v: DataFrame, cancellations_v: DataFrame) -> DataFrame:
+                     releases_v: DataFrame, cancellations_v: DataFrame,
+                     small: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Two rows per campaign: ``QuantitePiece`` and ``Valo €``.
 
     Receipts and shipments always show (0 when none); release and cancellation
     columns are null when the campaign has none.  Percentages are rounded half
-    to even to 3 decimals; a zero denominator gives null.
+    to even to 3 decimals; a zero denominator gives null.  Every part has one
+    row per campaign; ``small`` marks such tables for broadcast (the caller
+    decides from the campaign count).
     """
     parts = [
         _family_totals(receipts, "QuantiteReceptionPiece", "MontantReception", "rec"),
@@ -35,9 +40,9 @@ def campaign_summary(scope: DataFrame, totals: DataFrame, receipts: DataFrame, s
         _family_totals(releases_v, "QuantiteDeblocagePiece", "MontantDeblocage", "deb"),
         _family_totals(cancellations_v, "QuantiteAnnulationPiece", "MontantAnnulation", "ann"),
     ]
-    wide = scope.select(*CAMPAIGN).join(totals, CAMPAIGN)
+    wide = scope.select(*CAMPAIGN).join(small(totals), CAMPAIGN)
     for p in parts:
-        wide = wide.join(p, CAMPAIGN, "left")
+        wide = wide.join(small(p), CAMPAIGN, "left")
 
     def row(label: str, s: str, tot: str) -> F.Column:
         rec = F.coalesce(F.col("rec_" + s), F.lit(0.0))

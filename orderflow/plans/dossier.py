@@ -119,9 +119,13 @@ class Dossier:
     def _purchases_all(self) -> DataFrame:
         return orders.purchase_lines(self.t.commande_achat, self.catalogues, self.t.article)
 
+    @cached_property
+    def _sales_rows_all(self) -> DataFrame:
+        return orders.sales_rows(self.t.commande_vente, self.catalogues)
+
     @cached_property
     def _sales_all(self) -> DataFrame:
-        return orders.sales_lines(self.t.commande_vente, self.catalogues)
+        return orders.sales_lines(self._sales_rows_all)
 
     @cached_property
     def _receipts_all(self) -> DataFrame:
@@ -130,7 +134,7 @@ class Dossier:
 
     @cached_property
     def _shipments_all(self) -> DataFrame:
-        keys = orders.sales_order_keys(self._sales_all)
+        keys = orders.sales_order_keys(self._sales_rows_all)
         return orders.shipments(self.t.mouvement, keys, self.t.article)
 
     # ---- campaign status -------------------------------------------------
@@ -168,7 +172,7 @@ class Dossier:
 
     @cached_property
     def sales_order_keys(self) -> DataFrame:
-        return orders.sales_order_keys(self.sales_lines)
+        return orders.sales_order_keys(self.scoped(self._sales_rows_all))
 
     @cached_property
     def receipts_daily(self) -> DataFrame:
@@ -202,7 +206,7 @@ class Dossier:
     @cached_property
     def campaign_summary(self) -> DataFrame:
         return summary.campaign_summary(self.flags, self.campaign_totals, self.receipts_daily, self.shipments,
-                                        self.releases_valued, self.cancellations_valued)
+                                        self.releases_valued, self.cancellations_valued, small=self.per_campaign)
 
     # ---- by reference and date -------------------------------------------
     def _keyed(self, flow: DataFrame) -> DataFrame:
@@ -281,14 +285,18 @@ class Dossier:
         return byref.with_pct(self.cumulative_by_date, self.totals, cumulative=True)
 
     # ---- re-bucketing ----------------------------------------------------
+    @cached_property
+    def _last_date(self) -> DataFrame:
+        return self.per_campaign(rebucket.last_movement_date(self.movement_dates))
+
     @cached_property
     def next_release_date(self) -> DataFrame:
-        return rebucket.next_release_date(self.movements_on_grid, self.movement_dates, self.flags)
+        return rebucket.next_release_date(self.movements_on_grid, self._last_date, self.flags)
 
     @cached_property
     def by_release_date(self) -> DataFrame:
-        buckets = rebucket.release_buckets(self._flows_long, self.movement_dates, self.flags)
-        booked = rebucket.booked_flows(self._flows_long, self.movement_dates, self.flags, self.grid_partitions)
+        buckets = rebucket.release_buckets(self._flows_long, self._last_date, self.flags)
+        booked = rebucket.booked_flows(self._flows_long, self._last_date, self.flags, self.grid_partitions)
         return rebucket.by_release_date(self.ref_universe, buckets, booked, self.flags, self.grid_partitions,
                                         self.broadcast_dates, self.grid_salt)
 
