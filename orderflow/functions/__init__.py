@@ -1,6 +1,6 @@
 from orderflow.functions.exprs import (
-    CAMPAIGN, RFC, days_between, drop_null_keys, fsum, fsum0, prefix_columns, ratio, rnd,
+    CAMPAIGN, RFC, drop_null_keys, fsum, fsum0, prefix_columns, ratio, rnd,
 )
 
-__all__ = ["CAMPAIGN", "RFC", "days_between", "drop_null_keys", "fsum", "fsum0",
+__all__ = ["CAMPAIGN", "RFC", "drop_null_keys", "fsum", "fsum0",
            "prefix_columns", "ratio", "rnd"]

@@ -38,14 +38,6 @@ def ratio(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-def days_between(later: str | Column, earlier: str | Column) -> Column:
-    """Exact difference of two timestamps in (fractional) days."""
-    later = F.col(later) if isinstance(later, str) else later
-    earlier = F.col(earlier) if isinstance(earlier, str) else earlier
-    seconds = F.timestamp_diff("SECOND", earlier, later)
-    return seconds.cast("double") / F.lit(86400.0)
-
-
 def drop_null_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Drop rows with a null in any key, as a dataframe-library group-by does."""
     return df.dropna(subset=list(keys))
