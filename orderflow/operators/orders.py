@@ -68,17 +68,24 @@ def _movements_of(mouvement: DataFrame, kind: int, order_keys: DataFrame, order_
             .join(keys, "IDCommande"))
 
 
-def receipts_daily(mouvement: DataFrame, po_keys: DataFrame, article: DataFrame) -> DataFrame:
-    """Receipts of the campaign purchase orders, summed by (order, article, day).
-    Rows with a null order, article or day are dropped."""
+RECEIPT_KEYS = [*CAMPAIGN, "IDCommande", "IDArticle", "DateReception"]
+
+
+def receipt_rows(mouvement: DataFrame, po_keys: DataFrame, article: DataFrame) -> DataFrame:
+    """Receipt movements of the campaign purchase orders, in pieces, one row
+    per movement; rows with a null order, article or day are dropped."""
     rows = (_movements_of(mouvement, RECEIPT_MOVEMENT, po_keys, "IDCommandeAchat")
             .join(pack_sizes(article), "IDArticle", "left")
             .select(*CAMPAIGN, "IDCommande", "IDArticle",
                     F.to_date("DateMouvement").alias("DateReception"),
                     (F.col("QuantiteMouvement") * F.col("QteParPack")).alias("QuantiteReceptionPiece"),
                     (F.col("QuantiteMouvement") * F.col("CAMVMvt")).alias("MontantReception")))
-    keys = [*CAMPAIGN, "IDCommande", "IDArticle", "DateReception"]
-    return (drop_null_keys(rows, keys).groupBy(*keys)
+    return drop_null_keys(rows, RECEIPT_KEYS)
+
+
+def receipts_daily(rows: DataFrame) -> DataFrame:
+    """Receipts summed by (order, article, day)."""
+    return (rows.groupBy(*RECEIPT_KEYS)
             .agg(fsum0("QuantiteReceptionPiece").alias("QuantiteReceptionPiece"),
                  fsum0("MontantReception").alias("MontantReception")))
 

@@ -128,9 +128,11 @@ class Dossier:
         return orders.sales_lines(self._sales_rows_all)
 
     @cached_property
-    def _receipts_all(self) -> DataFrame:
+    def _receipt_rows_all(self) -> DataFrame:
+        """Ungrouped receipts: enough for the flags (existence does not need
+        the per-day sums, and skipping them saves a shuffle of the movements)."""
         keys = orders.purchase_order_keys(self._purchases_all)
-        return orders.receipts_daily(self.t.mouvement, keys, self.t.article)
+        return orders.receipt_rows(self.t.mouvement, keys, self.t.article)
 
     @cached_property
     def _shipments_all(self) -> DataFrame:
@@ -141,7 +143,7 @@ class Dossier:
     @cached_property
     def status(self) -> DataFrame:
         flags = campaign.campaign_flags(self._purchases_all, self.t.releases, self.t.cancellations,
-                                        self._receipts_all, self._shipments_all, self.lookup)
+                                        self._receipt_rows_all, self._shipments_all, self.lookup)
         return self._materialized(campaign.campaign_status(self.catalogues, flags))
 
     @cached_property
@@ -176,7 +178,7 @@ class Dossier:
 
     @cached_property
     def receipts_daily(self) -> DataFrame:
-        return orders.receipts_daily(self.t.mouvement, self.purchase_order_keys, self.t.article)
+        return orders.receipts_daily(orders.receipt_rows(self.t.mouvement, self.purchase_order_keys, self.t.article))
 
     @cached_property
     def shipments(self) -> DataFrame:
