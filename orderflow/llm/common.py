@@ -36,28 +36,34 @@ def text_bytes(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit("")).cast("binary")
 
 
+def key_text(column: Column) -> Column:
+    """A key as a string that is never null; null is distinct from any text."""
+    return F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit("null"))
+
+
 def row_hash(*cols: Column) -> Column:
     """Hexadecimal md5 of the columns' strings; nulls are distinct from empty strings."""
-    parts = [F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("null")) for c in cols]
-    return F.md5(F.concat_ws("\x1f", *parts))
+    return F.md5(F.concat_ws("\x1f", *map(key_text, cols)))
 
 
-def spread_rank(df: DataFrame, keys: list[str], hashed: str, order: list[str], out: str) -> DataFrame:
+def spread_rank(df: DataFrame, keys: list[str], hashed: str, order: list[str], out: str,
+                each: DataFrame | None = None) -> DataFrame:
     """Add ``out``: the gapless rank from 0 of each row within ``keys``, ordered by ``hashed`` and then ``order``.
 
     ``hashed`` is a hexadecimal string.  Rows are ranked inside (keys, first digits of the hash); the counts of
-    the buckets before are added.  No task ever holds more than one bucket of a key, however hot the key.
+    the buckets before are added.  No task ever holds more than one bucket of a key, however hot the key, and the
+    rows are shuffled once.  ``each`` has one row per key combination; its other columns are added to the rows.
     """
-    bucket = "__bucket"
-    df = df.withColumn(bucket, F.substring(hashed, 1, RANK_DIGITS))
-    before = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    counts = (df.groupBy(*keys, bucket).agg(F.count("*").alias("__n"))
-              .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-              .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(bucket).alias("__b"), "__before"))
-    on = F.col(bucket) == F.col("__b")
-    for i, k in enumerate(keys):
-        on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    own = Window.partitionBy(*keys, bucket).orderBy(hashed, *order)
-    return (df.join(counts, on, "left")
+    names = [f"__key{i}" for i in range(len(keys))]
+    df = df.withColumns({n: key_text(F.col(k)) for n, k in zip(names, keys)} | {"__bucket": F.substring(hashed, 1, RANK_DIGITS)})
+    before = Window.partitionBy(*names).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = df.groupBy(*names, "__bucket").agg(F.count("*").alias("__n"))
+    counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    if each is not None:
+        added = each.select(*[key_text(F.col(k)).alias(n) for n, k in zip(names, keys)],
+                            *[c for c in each.columns if c not in keys])
+        counts = counts.join(added, names, "left")
+    own = Window.partitionBy(*names, "__bucket").orderBy(hashed, *order)
+    return (df.join(counts, [*names, "__bucket"])
             .withColumn(out, F.col("__before") + F.row_number().over(own) - F.lit(1))
-            .drop(bucket, "__b", "__before", *[f"__k{i}" for i in range(len(keys))]))
+            .drop(*names, "__bucket", "__before"))

@@ -5,17 +5,53 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderflow.llm import simhash_tiles
+from orderflow.llm import decontaminate, gam, hashtree, mixing, simhash_tiles
 from orderflow.llm.common import table
 
+#: Folds of the two classifiers' labels: one in this many is held out.
+QUALITY_FOLDS = 5
+
+
+def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of fold 0 are not learned from."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = gam.fold(F.col("doc_id"), QUALITY_FOLDS) == 0
+    model = gam.fit_quality(docs, table(spark, sf_dir, "labels"), learn=~held_out)
+    return gam.score_texts(docs, model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= gam.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op4_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard, slot and grown shard of every document (law ``key``, eight shards)."""
+    return hashtree.assignment(table(spark, sf_dir, "documents"))
+
 
 def op8_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (3-word shingles, 3 bits)."""
     return simhash_tiles.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op9_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document (150 % of all words, 2 copies at most)."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that a document contains (5-word shingles, 0.8 of them)."""
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_gam": op1_quality_gam,
+    "op4_hash_tree": op4_hash_tree,
     "op8_simhash_tiles": op8_simhash_tiles,
+    "op9_entropy_mix": op9_entropy_mix,
+    "op10_decontaminate": op10_decontaminate,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op4_hash_tree": hashtree.ORACLE_SQL,
+    "op10_decontaminate": decontaminate.ORACLE_SQL,
 }
-ORACLE_SQL: dict[str, str] = {}
