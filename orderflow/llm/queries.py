@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import decontaminate, gam, hashtree, mixing, simhash_tiles
+from orderflow.llm import blob_ledger, decontaminate, fuse_dedup, gam, hashtree, mixing, simhash_tiles
 from orderflow.llm.common import table
 
 #: Folds of the two classifiers' labels: one in this many is held out.
@@ -24,11 +24,23 @@ def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= gam.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op2_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document; documents are the paths, their texts the blobs, and the ledger starts empty."""
+    findings, _ = blob_ledger.scan(table(spark, sf_dir, "documents"), ["doc_id"], "text")
+    return blob_ledger.digest(findings)
+
+
 def op4_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard, slot and grown shard of every document (law ``key``, eight shards)."""
     return hashtree.assignment(table(spark, sf_dir, "documents"))
 
 
+def op6_fuse_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact groups of all documents: half of the ids, by hash, are the snapshot, the others the new batch."""
+    docs = table(spark, sf_dir, "documents")
+    return fuse_dedup.deduplicate(docs, F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1).drop("incoming")
+
+
 def op8_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (3-word shingles, 3 bits)."""
     return simhash_tiles.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
@@ -46,12 +58,16 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_gam": op1_quality_gam,
+    "op2_blob_ledger": op2_blob_ledger,
     "op4_hash_tree": op4_hash_tree,
+    "op6_fuse_dedup": op6_fuse_dedup,
     "op8_simhash_tiles": op8_simhash_tiles,
     "op9_entropy_mix": op9_entropy_mix,
     "op10_decontaminate": op10_decontaminate,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op2_blob_ledger": blob_ledger.ORACLE_SQL,
     "op4_hash_tree": hashtree.ORACLE_SQL,
+    "op6_fuse_dedup": fuse_dedup.ORACLE_SQL,
     "op10_decontaminate": decontaminate.ORACLE_SQL,
 }
