@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import stored
+from orderflow.llm.common import key_text, stored
 
 #: Distinct digests in a bucket and its filter, on average.
 BUCKET_KEYS = 20_000
@@ -182,9 +182,10 @@ def deduplicate(docs: DataFrame, incoming: Column, filters: DataFrame | None = N
 
 def _same_bytes(docs: DataFrame, both: DataFrame) -> DataFrame:
     """Digests under which the snapshot's text and the batch's text are the same, compared as texts."""
-    ends = both.select("digest", F.explode(F.array("new_best.doc_id", "old_best.doc_id")).alias("__id"))
-    texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), normalised().alias("text"))
-             .withColumn("digest", F.sha2("text", 256)).join(ends, "digest").where(F.col("doc_id").eqNullSafe(F.col("__id"))))
+    ends = both.select("digest", F.explode(F.array("new_best.doc_id", "old_best.doc_id")).alias("id"))
+    ends = ends.select("digest", key_text(F.col("id")).alias("id"))
+    texts = (docs.select(key_text(F.col("doc_id").cast("long")).alias("id"), normalised().alias("text"))
+             .withColumn("digest", F.sha2("text", 256)).join(ends, ["digest", "id"]))
     return texts.groupBy("digest").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a = b").select("digest")
 
 

@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import blob_ledger, decontaminate, fuse_dedup, gam, hashtree, mixing, simhash_tiles
+from orderflow.llm import blob_ledger, decontaminate, fuse_dedup, gam, hashtree, mixing, simhash_tiles, toxicity
 from orderflow.llm.common import table
 
 #: Folds of the two classifiers' labels: one in this many is held out.
 QUALITY_FOLDS = 5
+TOXIC_FOLDS, TOXIC_HELD_OUT = 4, 2
 
 
 def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +31,16 @@ def op2_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blob_ledger.digest(findings)
 
 
+def op3_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels of fold 2 are not learned from."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = gam.fold(F.col("doc_id"), TOXIC_FOLDS) == TOXIC_HELD_OUT
+    grammar = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"), learn=~held_out)
+    return toxicity.score_texts(docs, grammar).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op4_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard, slot and grown shard of every document (law ``key``, eight shards)."""
     return hashtree.assignment(table(spark, sf_dir, "documents"))
@@ -59,6 +70,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_gam": op1_quality_gam,
     "op2_blob_ledger": op2_blob_ledger,
+    "op3_toxic_grammar": op3_toxic_grammar,
     "op4_hash_tree": op4_hash_tree,
     "op6_fuse_dedup": op6_fuse_dedup,
     "op8_simhash_tiles": op8_simhash_tiles,
