@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import blob_ledger, decontaminate, fuse_dedup, gam, hashtree, mixing, simhash_tiles, toxicity
+from orderflow.llm import blob_ledger, decontaminate, fuse_dedup, gam, hashtree, mixing, preference, simhash_tiles, token_ans, toxicity
 from orderflow.llm.common import table
 
 #: Folds of the two classifiers' labels: one in this many is held out.
@@ -46,12 +46,22 @@ def op4_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hashtree.assignment(table(spark, sf_dir, "documents"))
 
 
+def op5_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt and masked completions of every conversation, paired with its sibling."""
+    return preference.format_pairs(preference.sibling_pairs(table(spark, sf_dir, "conversations")))
+
+
 def op6_fuse_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact groups of all documents: half of the ids, by hash, are the snapshot, the others the new batch."""
     docs = table(spark, sf_dir, "documents")
     return fuse_dedup.deduplicate(docs, F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1).drop("incoming")
 
 
+def op7_token_ans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, read back from the written blocks."""
+    return token_ans.encoded_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (3-word shingles, 3 bits)."""
     return simhash_tiles.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
@@ -72,7 +82,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_blob_ledger": op2_blob_ledger,
     "op3_toxic_grammar": op3_toxic_grammar,
     "op4_hash_tree": op4_hash_tree,
+    "op5_preference": op5_preference,
     "op6_fuse_dedup": op6_fuse_dedup,
+    "op7_token_ans": op7_token_ans,
     "op8_simhash_tiles": op8_simhash_tiles,
     "op9_entropy_mix": op9_entropy_mix,
     "op10_decontaminate": op10_decontaminate,
@@ -80,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op2_blob_ledger": blob_ledger.ORACLE_SQL,
     "op4_hash_tree": hashtree.ORACLE_SQL,
+    "op5_preference": preference.ORACLE_SQL,
     "op6_fuse_dedup": fuse_dedup.ORACLE_SQL,
     "op10_decontaminate": decontaminate.ORACLE_SQL,
 }
