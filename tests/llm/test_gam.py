@@ -1,0 +1,41 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from orderflow.llm import gam as m
+
+
+def test_held_out_accuracy(spark, documents):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = m.fold(F.col("doc_id"), 5) == 0
+    model = m.fit_quality(docs, labels, learn=~held)
+    rows = m.score_texts(docs, model).join(labels.where(held), "doc_id").collect()
+    right = [(r.score >= m.THRESHOLD) == (r.quality == 1) for r in rows]
+    assert len(rows) > 50 and sum(right) / len(right) > 0.95
+    again = m.fit_quality(docs.orderBy(F.desc("doc_id")), labels, learn=~held)
+    assert all(np.array_equal(a, b) for a, b in zip(model.tables, again.tables))
+
+
+def test_odd_rows(spark, odd, none):
+    labels = spark.createDataFrame([(1, 1), (2, 1), (12, 0), (12, 0), (5, 0), (None, 1), (7, None), (99, 1), (8, 1), (8, 0)],
+                                   "doc_id long, quality int")
+    model = m.fit_quality(odd, labels)
+    rows = m.score_texts(odd, model).collect()
+    assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
+    kept = m.keep_quality(odd, model, 0.0)
+    assert kept.columns == odd.columns and kept.count() == odd.count()
+    assert m.score_texts(none, model).count() == 0
+    blank = m.fit_quality(odd, labels.limit(0))
+    assert {r.score for r in m.score_texts(odd, blank).collect()} == {0.5}
+
+
+def test_one_class_and_score_is_sum_of_tables():
+    x = np.random.default_rng(0).normal(size=(400, len(m.FEATURES)))
+    assert m.fit(x, np.ones(400)).score(x).min() > 0.9
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0)).astype(int)  # needs a pair
+    model = m.fit(x, y)
+    assert ((model.score(x) > 0.5) == y).mean() > 0.9 and (0, 1) in model.pairs
+    total = model.base + sum(t[np.searchsorted(e, x[7, f], "right")] for f, (e, t) in enumerate(zip(model.edges, model.tables)))
+    for (f, g), t in model.pairs.items():
+        total += t[np.searchsorted(model.pair_edges[f], x[7, f], "right"), np.searchsorted(model.pair_edges[g], x[7, g], "right")]
+    assert abs(model.score(x)[7] - 1 / (1 + np.exp(-total))) < 1e-12

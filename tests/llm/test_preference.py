@@ -1,0 +1,52 @@
+from orderflow.llm import preference as m
+
+
+def render(turns):
+    return "".join(f"<|im_start|>{r}\n{x}<|im_end|>\n" for r, x in turns)
+
+
+def plain(chosen, rejected):
+    k = 0
+    while k < min(len(chosen), len(rejected)) and chosen[k] == rejected[k]:
+        k += 1
+
+    def mask(turns):
+        out, at = [], 0
+        for r, x in turns:
+            begin = at + len(f"<|im_start|>{r}\n")
+            at = begin + len(f"{x}<|im_end|>\n")
+            out += [f"{begin}:{at}"] if r == "assistant" else []
+        return ",".join(out)
+
+    c, j = chosen[k:], rejected[k:]
+    return (k, render(chosen[:k]), len(c), render(c), mask(c), len(j), render(j), mask(j))
+
+
+def test_pairs(spark):
+    u, a = "user", "assistant"
+    pairs = {
+        1: ([(u, "hi"), (a, "yes é𝄞")], [(u, "hi"), (a, "no")]), 2: ([(u, "x"), (a, "same")], [(u, "x"), (a, "same")]),
+        3: ([(u, "only chosen"), (a, "")], []), 4: ([], [(a, "only rejected")]), 5: ([(u, "p")], [(u, "p"), (a, "longer"), (u, "q"), (a, "r")]),
+        6: ([("system", "s"), (u, "a" * 200_000), (a, "b")], [("system", "t"), (u, "a"), (a, "b")]),
+    }
+    rows = [(p, side, k, r, x, "clash") for p, both in pairs.items() for side, turns in zip(("chosen", "rejected"), both)
+            for k, (r, x) in enumerate(turns)]
+    rows += [rows[0], (None, "chosen", 0, u, "no pair", "y"), (1, "other", 0, u, "no side", "y")]
+    df = spark.createDataFrame(rows, "pair_id long, side string, turn int, role string, text string, prompt string").repartition(4)
+    got = {r[0]: tuple(r[1:]) for r in m.format_pairs(df).collect()}
+    assert got == {p: plain(*both) for p, both in pairs.items()}
+
+
+def test_nulls_and_marks(spark):
+    rows = [(1, "chosen", None, None, None), (1, "chosen", 0, "user", "a <|im_end|> b"), (1, "rejected", 0, "user", "z")]
+    df = spark.createDataFrame(rows, "pair_id long, side string, turn int, role string, text string")
+    r = m.format_pairs(df).first()
+    assert r.chosen == render([("user", "a < |im_end|> b"), ("unknown", "")]) and r.chosen_mask == ""
+    assert m.format_pairs(df.limit(0)).count() == 0
+
+
+def test_siblings(spark):
+    conv = [(c, t, "user" if t % 2 == 0 else "assistant", f"{c}-{t}") for c in (2, 3, 6) for t in range(4)] + [(None, 0, "user", "x")]
+    df = m.format_pairs(m.sibling_pairs(spark.createDataFrame(conv, "conv_id long, turn long, role string, text string")))
+    got = {r.pair_id: (r.prompt_turns, r.chosen_turns, r.rejected_turns, r.rejected) for r in df.collect()}
+    assert got == {2: (3, 1, 1, render([("assistant", "3-3")])), 3: (3, 1, 1, render([("assistant", "2-3")])), 6: (3, 1, 0, "")}

@@ -1,0 +1,96 @@
+import re
+
+import numpy as np
+import xxhash
+
+from orderflow.llm import simhash_tiles as m
+from tests.llm.conftest import odd_rows
+
+
+def plain(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda c: c[0].lower(), text or ""))
+    shingles = [" ".join(words[k:k + 3]) for k in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes) and hashes)
+
+
+def components(fps, radius=3):
+    root = list(range(len(fps)))
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for a in range(len(fps)):
+        for b in range(a):
+            if (fps[a] ^ fps[b]).bit_count() <= radius:
+                root[find(a)] = find(b)
+    return [find(a) for a in range(len(fps))]
+
+
+def expected(rows):
+    fps = [plain(t) for _, t in rows]
+    roots = components(fps)
+    first = {}
+    for (i, _), r in zip(rows, roots):
+        if i is not None:
+            first[r] = min(first.get(r, i), i)
+    return sorted(((i, f"{f:016x}", first.get(r)) for (i, _), f, r in zip(rows, fps, roots)), key=str)
+
+
+def test_odd_rows(odd):
+    got = [tuple(r) for r in m.near_duplicates(odd).select("doc_id", "fingerprint", "component_id").collect()]
+    assert sorted(got, key=str) == expected([r[:2] for r in odd_rows()])
+
+
+def test_documents_against_all_pairs(documents):
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    got = [tuple(r) for r in m.near_duplicates(documents).select("doc_id", "fingerprint", "component_id").collect()]
+    assert sorted(got, key=str) == expected(rows)
+
+
+def test_tile_links_chains_and_blocks(spark):
+    """Chains of three-bit steps, many equal tiles and blocks of four: links must join what all pairs join."""
+    rng = np.random.default_rng(5)
+    fps = set(rng.integers(0, 1 << 64, 150, dtype=np.uint64).tolist())
+    for f in list(fps)[:30]:
+        for _ in range(12):
+            for b in rng.integers(0, 64, 3).tolist():
+                f ^= 1 << b
+            fps.add(f)
+    fps |= {(1 << k) - 1 for k in range(64)}
+    fps = sorted(fps)
+    classes = spark.createDataFrame([(int(np.uint64(f).view(np.int64)), 1) for f in fps], "fp long, first_id long")
+    links = m.tile_links(classes, block=4).collect()
+    at = {int(np.uint64(f).view(np.int64)): k for k, f in enumerate(fps)}
+    root = list(range(len(fps)))
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for link in links:
+        a, b = at[link.a], at[link.b]
+        root[find(a)] = find(b)
+    mine, true = {}, {}
+    for k, r in enumerate(components(fps)):
+        true.setdefault(r, set()).add(k)
+        mine.setdefault(find(k), set()).add(k)
+    assert sorted(map(sorted, mine.values())) == sorted(map(sorted, true.values()))
+
+
+def test_block_links_is_spanning_not_all_pairs():
+    a = np.arange(16, dtype=np.uint64)
+    nodes, roots = m.block_links(a, a, 3, True)
+    assert len(nodes) == 15 and set(roots) == {0}
+
+
+def test_drop(odd, none):
+    kept = m.drop_near_duplicates(odd)
+    assert kept.columns == odd.columns
+    ids = sorted(r.doc_id for r in kept.collect() if r.doc_id is not None)
+    groups = {r[2] for r in expected([x[:2] for x in odd_rows()]) if r[2] is not None}
+    assert ids == sorted(groups)
+    assert m.near_duplicates(none).count() == 0 and m.drop_near_duplicates(none).count() == 0
