@@ -181,11 +181,14 @@ def deduplicate(docs: DataFrame, incoming: Column, filters: DataFrame | None = N
 
 
 def _same_bytes(docs: DataFrame, both: DataFrame) -> DataFrame:
-    """Digests under which the snapshot's text and the batch's text are the same, compared as texts."""
+    """Digests under which the snapshot's text and the batch's text are the same, compared as texts.
+
+    The texts of the positives' representatives are found by a merge join at every size.
+    """
     ends = both.select("digest", F.explode(F.array("new_best.doc_id", "old_best.doc_id")).alias("id"))
     ends = ends.select("digest", key_text(F.col("id")).alias("id"))
     texts = (docs.select(key_text(F.col("doc_id").cast("long")).alias("id"), normalised().alias("text"))
-             .withColumn("digest", F.sha2("text", 256)).join(ends, ["digest", "id"]))
+             .withColumn("digest", F.sha2("text", 256)).join(ends.hint("merge"), ["digest", "id"]))
     return texts.groupBy("digest").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a = b").select("digest")
 
 
