@@ -12,6 +12,8 @@ from orderflow.session import ensure_checkpoint_dir
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Hexadecimal digits of a row's hash that name its rank bucket (16**3 buckets a key).
 RANK_DIGITS = 3
+#: Spark's own limit of an Arrow batch, and the one that the operators use in its place.
+DEFAULT_BATCH, BATCH_BYTES = "67108864b", "4m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +33,17 @@ def stored(df: DataFrame, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """Have texts handed to Python a few MB at a time, unless the session sets its own limit; returns ``df``.
+
+    A task holds a batch several times over (JVM, pipe, Python), and long texts make batches by row count too large.
+    """
+    conf, limit = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(limit) == DEFAULT_BATCH:
+        conf.set(limit, BATCH_BYTES)
+    return df
+
+
 def text_bytes(col: str | Column = "text") -> Column:
     """UTF-8 bytes of a text; null counts as empty."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit("")).cast("binary")

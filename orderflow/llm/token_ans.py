@@ -22,6 +22,8 @@ rows are written each, next to each other; an empty table gives no blocks.  Extr
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -31,24 +33,78 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import shared_folder, stored, text_bytes
+from orderflow.llm.common import bounded_batches, shared_folder, stored, text_bytes
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 SCALE_BITS = 20
-LANES = 1024
-BLOCK_IDS = 1 << 18
+LANES = 2048
+BLOCK_IDS = 1 << 19
 CHECKPOINT_STEPS = 128
 CACHED_WORDS = 400_000
 _LOW = np.uint64(1 << 31)
 _M, _32 = np.uint64(SCALE_BITS), np.uint64(32)
-RAW = "part int, block int, doc_ids array<long>, lengths array<int>, ids binary"
+RAW = "part int, block int, doc_ids array<long>, lengths array<int>, kind string, ids binary"
 BLOCKS = ("part int, block int, doc_ids array<long>, lengths array<int>, n_ids int, lanes int, states binary, words binary, "
           "checkpoints array<struct<step:int,offset:int,states:binary>>, words_crc32 long, ids_crc32 long")
 
 
+class _WordIds(dict):
+    """Ids of words, as bytes of ``kind``; unknown words are tokenised on first use.
+
+    Words are forgotten a generation at a time: when ``CACHED_WORDS`` are held they become the old generation, from
+    which words in use are taken over.
+    """
+
+    #: Latin letters, which the normalizer lower-cases one by one, and a run of marks that is a piece of its own.
+    _MARKS = b".,!?;:*$#%&|"
+    _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:*$#%&|]*)")
+
+    def __init__(self, tokenizer: object) -> None:
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        super().__init__()
+        self.kind, self._code = ("<u2", "H") if tokenizer.get_vocab_size() <= 1 << 16 else ("<u4", "I")
+        self._tokenizer, self._model, self._old = tokenizer, tokenizer.model, {}
+        byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self._shown = {c: byte_level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self._old.get(word)
+        if ids is None:
+            core = word.rstrip(self._MARKS)
+            low = core.lower()
+            if low.isalpha() and low == word:  # ASCII letters only
+                ids = self._packed([t.id for t in self._model.tokenize(word.decode())])
+            elif low.isalpha():
+                ids = self[low] + (self[word[len(core):]] if len(core) < len(word) else b"")
+            else:
+                ids = self._mixed(word.decode("utf-8", "replace"))
+        if len(self) >= CACHED_WORDS:
+            self._old = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+    def _mixed(self, text: str) -> bytes:
+        plain = self._PLAIN.fullmatch(text)
+        if not plain:
+            return self._packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
+        core = plain[1].lower()
+        if core != text:
+            return self[core.encode()] + (self[plain[2].encode()] if plain[2] else b"")
+        return self._packed([t.id for t in self._model.tokenize(text.translate(self._shown))])
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return array(self._code, ids).tobytes()
+
+
 class WordTokenizer:
-    """Ids of texts by a tokenizers file, given by path or by the name of a public file."""
+    """Ids of texts by a tokenizers file, given by path or by the name of a public file.
+
+    The file's pre-tokenizer splits at white space and between letters and marks, so the model itself is asked for
+    plain words, and the whole tokenizer for all others.
+    """
 
     def __init__(self, path: str) -> None:
         import os
@@ -63,36 +119,14 @@ class WordTokenizer:
         # Kept with the imported library, so that later tasks of the same worker process find it.
         kept = vars(tokenizers).setdefault("_word_ids", {})
         if path not in kept:
-            kept[path] = (tokenizers.Tokenizer.from_file(path), {})
-        self._tokenizer, self._words = kept[path]
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Tokenise new words, many joined by spaces at a time, and cut the ids at the words' starts."""
-        for k in range(0, len(words), 2048):
-            texts = [w.decode("utf-8", "replace") for w in words[k:k + 2048]]
-            sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-            starts = np.cumsum(sizes + 1) - sizes - 1
-            done = self._tokenizer.encode(" ".join(texts), add_special_tokens=False)
-            ids = np.array(done.ids, "<u4")
-            places = np.fromiter((o[0] for o in done.offsets), np.int64, len(ids))
-            cuts = np.searchsorted(places, starts).tolist() + [len(ids)]
-            data = ids.tobytes()
-            for j, word in enumerate(words[k:k + 2048]):
-                self._words[word] = data[4 * cuts[j]:4 * cuts[j + 1]]
+            kept[path] = _WordIds(tokenizers.Tokenizer.from_file(path))
+        self._words = kept[path]
+        self.kind = self._words.kind
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        known, out = self._words, []
-        for text in texts:
-            words = text.split()
-            new = [w for w in dict.fromkeys(words) if w not in known]
-            if new:
-                if len(known) + len(new) > CACHED_WORDS:
-                    known.clear()
-                    new = list(dict.fromkeys(words))
-                self._learn(new)
-            out.append(b"".join([known[w] for w in words]))
-        return out
+        """Ids of each text, as bytes of ``kind``."""
+        known = self._words.__getitem__
+        return [b"".join(map(known, text.split())) for text in texts]
 
 
 def quantise(counts: np.ndarray) -> np.ndarray:
@@ -164,20 +198,21 @@ def _raw_blocks(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId(), WordTokenizer(tokenizer)
-        end = np.array([END_ID], "<u4").tobytes()
+        end = np.array([END_ID], made.kind).tobytes()
+        width = len(end)
         block, doc_ids, pieces, held = 0, [], [], 0
 
         def packed() -> pa.RecordBatch:
-            row = [[part], [block], [doc_ids], [[len(p) // 4 for p in pieces]], [b"".join(pieces)]]
-            kinds = (pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary())
+            row = [[part], [block], [doc_ids], [[len(p) // width for p in pieces]], [made.kind], [b"".join(pieces)]]
+            kinds = (pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.string(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)],
-                                              ["part", "block", "doc_ids", "lengths", "ids"])
+                                              ["part", "block", "doc_ids", "lengths", "kind", "ids"])
 
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 pieces.append(made.ids([text.as_py()])[0] + end)
                 doc_ids.append(doc)
-                held += len(pieces[-1]) // 4
+                held += len(pieces[-1]) // width
                 if held >= BLOCK_IDS:
                     yield packed()
                     block, doc_ids, pieces, held = block + 1, [], [], 0
@@ -185,7 +220,7 @@ def _raw_blocks(docs: DataFrame, tokenizer: str) -> DataFrame:
             yield packed()
 
     by = [F.col("doc_id"), F.xxhash64("text")]
-    return (docs.select(F.col("doc_id").cast("long"), text_bytes().alias("text"))
+    return (bounded_batches(docs).select(F.col("doc_id").cast("long"), text_bytes().alias("text"))
             .repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(run, RAW))
 
 
@@ -195,14 +230,14 @@ def _counts(raw: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                own = np.bincount(np.frombuffer(ids.as_py(), "<u4"), minlength=len(total))
+            for kind, ids in zip(batch.column(0), batch.column(1)):
+                own = np.bincount(np.frombuffer(ids.as_py(), kind.as_py()), minlength=len(total))
                 own[:len(total)] += total
                 total = own
         seen = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["symbol", "n"])
 
-    rows = raw.select("ids").mapInArrow(run, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n")).toArrow()
+    rows = raw.select("kind", "ids").mapInArrow(run, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(1 + max([END_ID, *rows.column("symbol").to_pylist()]), np.int64)
     out[rows.column("symbol").to_numpy()] = rows.column("n").to_numpy()
     return out
@@ -219,14 +254,13 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER) -> No
         for batch in batches:
             for row in range(batch.num_rows):
                 head = [batch.column(c).slice(row, 1) for c in range(4)]
-                data = batch.column(4)[row].as_py()
-                ids = np.frombuffer(data, "<u4")
+                ids = np.frombuffer(batch.column(5)[row].as_py(), batch.column(4)[row].as_py())
                 lanes, states, words, marks = coder.encode(ids)
                 stream = words.tobytes()
                 marks = [{"step": t, "offset": o, "states": x.tobytes()} for t, o, x in marks]
                 kind = pa.list_(pa.struct([("step", pa.int32()), ("offset", pa.int32()), ("states", pa.binary())]))
                 rest = [pa.array([len(ids)], pa.int32()), pa.array([lanes], pa.int32()), pa.array([states.tobytes()]),
-                        pa.array([stream]), pa.array([marks], kind), pa.array([crc32(stream)]), pa.array([crc32(data)])]
+                        pa.array([stream]), pa.array([marks], kind), pa.array([crc32(stream)]), pa.array([crc32(ids.astype("<u4").tobytes())])]
                 yield pa.RecordBatch.from_arrays([*head, *rest], ["part", "block", "doc_ids", "lengths", "n_ids", "lanes", "states",
                                                                   "words", "checkpoints", "words_crc32", "ids_crc32"])
 

@@ -22,7 +22,7 @@ def test_coder_round_trip(ids):
 
 
 def test_checkpoints_and_size():
-    ids = (np.random.default_rng(0).zipf(1.4, 300_000) % 49_408).astype(np.uint32)
+    ids = (np.random.default_rng(0).zipf(1.4, 2 * m.LANES * m.CHECKPOINT_STEPS + 5_000) % 49_408).astype(np.uint32)
     counts = np.bincount(ids, minlength=49_408)
     coder = m.Coder(m.quantise(counts))
     lanes, states, words, marks = coder.encode(ids)
@@ -77,7 +77,7 @@ def test_words_equal_whole_texts():
              "á ́b \u0085 ''s 's\x0b\x0c\r\nx", "<|startoftext|>x<|endoftext|>"]
     made = m.WordTokenizer(m.TOKENIZER)
     for text in texts:
-        assert np.frombuffer(made.ids([text.encode()])[0], "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(made.ids([text.encode()])[0], made.kind).tolist() == t.encode(text, add_special_tokens=False).ids
 
 
 def test_damage_is_noticed(spark):
