@@ -2,7 +2,8 @@
 
 Reads the nine domain tables (one folder each under ``--domain``) and writes
 every table of every produced campaign under ``--out``, partitioned by
-(Marque, Saison), plus ``campagnes_statut`` with the status of each campaign.
+campaign, plus ``campagnes_statut`` with the status of each listed campaign and
+``rejets`` with the input rows that do not fit their schema.
 Use the cluster's session settings (``spark-submit``); ``spark.checkpoint.dir``
 must name a shared folder on a cluster.
 """
@@ -26,14 +27,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--format", default="parquet", help="source format: parquet, orc, csv, json")
     ap.add_argument("--option", action="append", default=[], metavar="KEY=VALUE",
                     help="reader option, e.g. header=true (repeatable)")
-    ap.add_argument("--grid-partitions", type=int, default=None,
-                    help="partitions of the grid / running-total stage (default: spark.sql.shuffle.partitions)")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("orderflow-dossier").getOrCreate()
     options = dict(o.split("=", 1) for o in args.option)
     tables = read_domain_tables(spark, args.domain, fmt=args.format, options=options)
-    report = write_dossier(Dossier(tables, grid_partitions=args.grid_partitions), args.out)
+    report = write_dossier(Dossier(tables), args.out)
     print(json.dumps({"root": report.root, "tables": report.tables}))
 
 

@@ -1,6 +1,5 @@
 from orderflow.functions.exprs import (
-    CAMPAIGN, RFC, drop_null_keys, fsum, fsum0, prefix_columns, ratio, rnd,
+    CAMPAIGN, EXACT, RFC, doubles, drop_null_keys, exact, fsum, fsum0, ratio,
 )
 
-__all__ = ["CAMPAIGN", "RFC", "drop_null_keys", "fsum", "fsum0",
-           "prefix_columns", "ratio", "rnd"]
+__all__ = ["CAMPAIGN", "EXACT", "RFC", "doubles", "drop_null_keys", "exact", "fsum", "fsum0", "ratio"]

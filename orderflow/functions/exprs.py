@@ -6,29 +6,36 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Campaign key carried by every table, join, group and window.
 CAMPAIGN = ["Marque", "Saison"]
 RFC = "ReferenceFournisseurCouleur"
 
-# Sums of quantities and amounts are rounded to this many decimals.  The inputs
-# carry at most cents, so nothing real is lost, and the result no longer
-# depends on the order in which partitions were added.
-SUM_DECIMALS = 4
+# Row values are brought to this decimal type once; sums of decimals are exact,
+# so no result depends on the order in which partitions were added.  Results
+# are turned into doubles once, at the output (:func:`doubles`).
+EXACT = T.DecimalType(28, 6)
 
 
-def rnd(c: Column) -> Column:
-    return F.round(c, SUM_DECIMALS)
+def exact(c: str | Column) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast(EXACT)
 
 
 def fsum(name: str | Column) -> Column:
     """SQL sum: null when every input is null."""
-    return rnd(F.sum(name))
+    return F.sum(exact(name))
 
 
 def fsum0(name: str | Column) -> Column:
     """Sum where a group of only nulls gives 0 (dataframe-library semantics)."""
-    return F.coalesce(rnd(F.sum(name)), F.lit(0.0))
+    return F.coalesce(fsum(name), F.lit(0).cast(EXACT))
+
+
+def doubles(df: DataFrame) -> DataFrame:
+    """Exact columns as doubles: the one conversion at the output."""
+    return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
+                       else F.col(f.name) for f in df.schema.fields])
 
 
 def ratio(num: str | Column, den: str | Column) -> Column:
@@ -41,8 +48,3 @@ def ratio(num: str | Column, den: str | Column) -> Column:
 def drop_null_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Drop rows with a null in any key, as a dataframe-library group-by does."""
     return df.dropna(subset=list(keys))
-
-
-def prefix_columns(df: DataFrame, prefix: str = "", suffix: str = "") -> list[str]:
-    """Column names with a given prefix / suffix, chosen at plan-build time."""
-    return [c for c in df.columns if c.startswith(prefix) and c.endswith(suffix)]

@@ -1,63 +1,83 @@
-"""Per-campaign flags and status.
+"""Per-campaign facts: status, flags and totals from one pass over each family.
 
-The dossier of a campaign is produced only when the campaign has purchase
-lines and at least one release, receipt or shipment that lands on a supplier
-reference and a date; otherwise the campaign is reported with the reason and
-left out of every output.  Flags tell which flow families exist, which decides
-between 0 and null in the outputs (an absent family gives null columns).
+The dossier of a campaign is produced only when the campaign has a catalogue,
+purchase lines and at least one release, receipt or shipment that lands on a
+supplier reference and a date; otherwise the campaign is reported with the
+reason and left out of every output.  Flags tell which flow families exist,
+which decides between 0 and null in the outputs.  Totals of what was ordered,
+received and shipped come from the same pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.functions.exprs import CAMPAIGN, RFC
+from orderflow.functions.exprs import CAMPAIGN, EXACT, RFC, fsum0
 
 FLAG_KINDS = ["purchase", "release", "cancellation", "receipt", "shipment",
               "release_ref", "receipt_ref", "shipment_ref"]
+# Totals by their family's (quantity, amount) columns.
+TOTAL_COLUMNS = {
+    "purchase": ("QuantiteCommandeePiece", "MontantAchat"),
+    "receipt": ("QuantiteReceptionPiece", "MontantReception"),
+    "shipment": ("QuantiteExpeditionPiece", "MontantExpedition"),
+}
+TOTAL_NAMES = {"purchase": ("qte_achat_tot", "montant_achat_tot"), "receipt": ("rec_q", "rec_m"),
+               "shipment": ("exp_q", "exp_m")}
 
 
-def _tag(df: DataFrame, kind: str) -> DataFrame:
-    return df.select(*CAMPAIGN, F.lit(kind).alias("kind"))
+def _branch(df: DataFrame, family: str, on_reference: Column | None) -> DataFrame:
+    """One family's rows with the columns of all: its flags and, where it has totals, its values."""
+    flags = {family: F.lit(True), f"{family}_ref": on_reference}
+    out = [F.coalesce(flags.get(k), F.lit(False)).alias(k) if flags.get(k) is not None else F.lit(False).alias(k)
+           for k in FLAG_KINDS]
+    for fam, (qty, amount) in TOTAL_COLUMNS.items():
+        for name, column in zip(TOTAL_NAMES[fam], (qty, amount)):
+            out.append((F.col(column) if fam == family else F.lit(None)).cast(EXACT).alias(name))
+    return df.select(*CAMPAIGN, *out)
 
 
-def campaign_flags(purchases: DataFrame, releases: DataFrame, cancellations: DataFrame,
+def campaign_facts(campaigns: DataFrame, purchases: DataFrame, releases: DataFrame, cancellations: DataFrame,
                    receipts: DataFrame, shipments_: DataFrame, lookup: DataFrame) -> DataFrame:
-    """(campaign, has_<kind>...) for campaigns having at least one flow row.
+    """One row per listed campaign (null keys aside): status, flags, totals.
 
     Releases and cancellations are taken as listed: valuing them is a left
     join, which never removes a row, so the flags need no prices.  Each family
-    contributes one tag per row; the group-by on the campaign key is combined
-    map-side, so only (partitions x campaigns) rows are shuffled.
-    """
-    on_ref = lookup.filter(F.col(RFC).isNotNull()).select("IDArticle").distinct()
-    tags = [
-        _tag(purchases, "purchase"),
-        _tag(releases, "release"),
-        _tag(cancellations, "cancellation"),
-        _tag(receipts, "receipt"),
-        _tag(shipments_, "shipment"),
-        _tag(releases.filter(F.col(RFC).isNotNull() & F.col("DateDeblocage").isNotNull()), "release_ref"),
-        _tag(receipts.join(on_ref, "IDArticle", "left_semi"), "receipt_ref"),
-        _tag(shipments_.filter(F.col("DateExpedition").isNotNull()).join(on_ref, "IDArticle", "left_semi"),
-             "shipment_ref"),
+    is read once; the group-by on the campaign key is combined map-side, so
+    only (partitions x campaigns) rows are shuffled."""
+    on_ref = lookup.where(F.col(RFC).isNotNull()).select("IDArticle", F.lit(True).alias("_ref")).distinct()
+    ref = F.col("_ref").isNotNull()
+    parts = [
+        _branch(purchases, "purchase", None),
+        _branch(releases, "release", F.col(RFC).isNotNull() & F.col("DateDeblocage").isNotNull()),
+        _branch(cancellations, "cancellation", None),
+        _branch(receipts.join(on_ref, "IDArticle", "left"), "receipt", ref),
+        _branch(shipments_.join(on_ref, "IDArticle", "left"), "shipment", ref & F.col("DateExpedition").isNotNull()),
     ]
-    union = tags[0]
-    for t in tags[1:]:
-        union = union.unionByName(t)
-    return union.groupBy(*CAMPAIGN).agg(
-        *[F.max(F.col("kind") == F.lit(k)).alias("has_" + k) for k in FLAG_KINDS])
-
-
-def campaign_status(catalogues: DataFrame, flags: DataFrame) -> DataFrame:
-    """One row per campaign of the parameter table: status and flags."""
-    has = [F.coalesce(F.col("has_" + k), F.lit(False)).alias("has_" + k) for k in FLAG_KINDS]
-    out = (catalogues.select(*CAMPAIGN).distinct()
-           .join(flags, CAMPAIGN, "left")
-           .select(*CAMPAIGN, *has))
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    names = [n for pair in TOTAL_NAMES.values() for n in pair]
+    found = union.groupBy(*CAMPAIGN).agg(*[F.max(k).alias("has_" + k) for k in FLAG_KINDS],
+                                         *[fsum0(n).alias(n) for n in names])
+    listed = (campaigns.dropna(subset=CAMPAIGN).groupBy(*CAMPAIGN)
+              .agg(F.max(F.col("IDCatalogue").isNotNull()).alias("_catalogue")))
+    out = listed.join(found, CAMPAIGN, "left").select(
+        *CAMPAIGN, "_catalogue", *[F.coalesce("has_" + k, F.lit(False)).alias("has_" + k) for k in FLAG_KINDS],
+        *[F.coalesce(n, F.lit(0).cast(EXACT)).alias(n) for n in names])
     moved = F.col("has_release_ref") | F.col("has_receipt_ref") | F.col("has_shipment_ref")
-    status = (F.when(~F.col("has_purchase"), F.lit("no_purchases"))
+    status = (F.when(~F.col("_catalogue"), F.lit("no_catalogue"))
+              .when(~F.col("has_purchase"), F.lit("no_purchases"))
               .when(~moved, F.lit("no_movements"))
               .otherwise(F.lit("ok")))
-    return out.select(*CAMPAIGN, status.alias("status"), *["has_" + k for k in FLAG_KINDS])
+    return out.select(*CAMPAIGN, status.alias("status"), *["has_" + k for k in FLAG_KINDS], *names)
+
+
+def campaign_status(facts: DataFrame) -> DataFrame:
+    return facts.select(*CAMPAIGN, "status", *["has_" + k for k in FLAG_KINDS])
+
+
+def campaign_totals(facts: DataFrame) -> DataFrame:
+    """Ordered pieces and amount of the produced campaigns: the denominators of every %."""
+    return facts.where("status = 'ok'").select(*CAMPAIGN, "qte_achat_tot", "montant_achat_tot")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.functions.exprs import CAMPAIGN, RFC, drop_null_keys, fsum0, ratio, rnd
+from orderflow.functions.exprs import CAMPAIGN, EXACT, RFC, drop_null_keys, exact, fsum, fsum0, ratio
 
 MICROS_PER_DAY = 86_400_000_000
 
@@ -38,11 +38,11 @@ def release_to_receipt_delay(releases_v: DataFrame, receipts: DataFrame, lookup:
     key = [*CAMPAIGN, "IDCommande", RFC]
     rec = (drop_null_keys(receipts.join(lookup, "IDArticle", "left"), [*key, "DateReception"])
            .groupBy(*key, "DateReception")
-           .agg(fsum0("QuantiteReceptionPiece").alias("q")))
+           .agg(exact(fsum0("QuantiteReceptionPiece")).alias("q")))
     rel = (drop_null_keys(releases_v, [*key, "DateDeblocage"])
            .groupBy(*key, "DateDeblocage").agg(F.count(F.lit(1)).alias("n_rel")))
     timeline = (rel.select(*key, _day_number("DateDeblocage").alias("d"), "n_rel",
-                           F.lit(None).cast("double").alias("q"))
+                           F.lit(None).cast(EXACT).alias("q"))
                 .unionByName(rec.select(*key, _day_number("DateReception").alias("d"),
                                         F.lit(None).cast("long").alias("n_rel"), "q")))
     # Order by -d: the frame "up to 2 before" holds the receipts >= d + 2 days.
@@ -65,7 +65,7 @@ def release_to_receipt_delay(releases_v: DataFrame, receipts: DataFrame, lookup:
         (F.col("n_rel") * (F.col("sdq") - base * F.col("sq"))).alias("sum_dq"))
     return (pairs.groupBy(*CAMPAIGN, RFC, "DateDeblocage")
             .agg((F.sum("sum_delay") / F.sum("n_pairs")).alias("delai_j"),
-                 ratio(rnd(F.sum("sum_dq")), rnd(F.sum("sum_q"))).alias("delai_pondere_j")))
+                 ratio(F.sum("sum_dq"), F.sum("sum_q")).alias("delai_pondere_j")))
 
 
 LATE_KEYS = [RFC, "IDCommandeAchat", "IDCatalogue", "DateLivraisonAttendue",
@@ -92,32 +92,31 @@ def late_deliveries(purchases: DataFrame, receipts: DataFrame, lookup: DataFrame
     null_line = [F.lit(None).cast(lines.schema[c].dataType).alias(c) for c in line_cols]
     timeline = (lines.select(*key, *line_cols, "n_line", t_line.alias("t"),
                              F.lit(None).cast("date").alias("DateReception"),
-                             F.lit(None).cast("double").alias("q"), F.lit(None).cast("double").alias("m"))
+                             F.lit(None).cast(EXACT).alias("q"), F.lit(None).cast(EXACT).alias("m"))
                 .unionByName(rec.select(*key, *null_line, F.lit(None).cast("long").alias("n_line"),
                                         t_rec.alias("t"), "DateReception",
-                                        F.col("QuantiteReceptionPiece").alias("q"),
-                                        F.col("MontantReception").alias("m"))))
+                                        exact("QuantiteReceptionPiece").alias("q"),
+                                        exact("MontantReception").alias("m"))))
     # Order by -t: "up to 1 before" = receipts strictly after the line's limit.
     after = (Window.partitionBy(*key).orderBy(F.col("_neg_t"))
              .rangeBetween(Window.unboundedPreceding, -1))
-    day = F.lit(float(MICROS_PER_DAY))
     per_line = (timeline.withColumn("_neg_t", -F.col("t"))
                 .select(*key, *line_cols, "n_line", "t",
                         F.min("DateReception").over(after).alias("first_rec"),
                         F.max("DateReception").over(after).alias("last_rec"),
                         F.sum("q").over(after).alias("sq"),
                         F.sum("m").over(after).alias("sm"),
-                        F.sum(F.col("q") * (F.col("t") / day)).over(after).alias("stq"))
+                        F.sum(F.col("q") * F.col("t")).over(after).alias("stq"))
                 .filter(F.col("n_line").isNotNull() & F.col("first_rec").isNotNull()))
-    # lateness of a receipt = (t_rec - t_line) / day, so Σ lateness·q = Σ t·q / day - t_line / day · Σ q
-    lateness_q = F.col("n_line") * (F.col("stq") - (F.col("t") / day) * F.col("sq"))
+    # lateness of a receipt = t_rec - t_line, so Σ lateness·q = Σ t·q - t_line · Σ q, exact in microseconds
+    lateness_q = F.col("n_line") * (F.col("stq") - F.col("t") * F.col("sq"))
     on_ref = per_line.join(lookup, "IDArticle", "left")
     grouped = (drop_null_keys(on_ref, LATE_KEYS)
                .groupBy(*CAMPAIGN, *LATE_KEYS)
                .agg(F.min("first_rec").alias("_min"), F.max("last_rec").alias("_max"),
-                    rnd(F.sum(F.col("n_line") * F.col("sm"))).alias("MontantReception"),
-                    rnd(F.sum(lateness_q)).alias("_late_q"),
-                    rnd(F.sum(F.col("n_line") * F.col("sq"))).alias("QuantiteReceptionPiece")))
+                    fsum(F.col("n_line") * F.col("sm")).alias("MontantReception"),
+                    (F.sum(lateness_q).cast("double") / F.lit(float(MICROS_PER_DAY))).alias("_late_q"),
+                    fsum(F.col("n_line") * F.col("sq")).alias("QuantiteReceptionPiece")))
     return grouped.select(
         *CAMPAIGN, *LATE_KEYS,
         F.col("_min").cast("timestamp_ntz").alias("DateReceptionMin"),

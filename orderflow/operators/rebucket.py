@@ -14,74 +14,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.functions.exprs import CAMPAIGN, fsum0
-from orderflow.operators.byref import FLOWS
-from orderflow.operators.grid import GRID_KEYS, campaign_join, measures_by_family, with_running_totals
+from orderflow.functions.exprs import CAMPAIGN, EXACT, fsum0
+from orderflow.operators.byref import GRID_KEYS
+from orderflow.operators.grid import MEASURES, expanded, running
 
 
 def last_movement_date(dates: DataFrame) -> DataFrame:
-    """(campaign, _last_date): one row per campaign; callers broadcast it."""
+    """(campaign, _last_date): one row per campaign."""
     return dates.groupBy(*CAMPAIGN).agg(F.max("Date").alias("_last_date"))
 
 
-def next_release_date(on_grid: DataFrame, last_date: DataFrame, flags: DataFrame) -> DataFrame:
+def next_release_date(rows: DataFrame, dates: DataFrame, last_date: DataFrame) -> DataFrame:
     """Grid rows with the release date they are booked on (``DateDeblocage``).
 
-    The next release at or after a row is the running minimum of release dates
-    walking the dates backwards: a frame from the start of a descending order,
-    evaluated in one pass (no unbounded-following frame)."""
-    scope = flags.filter(F.col("has_release_ref")).select(*CAMPAIGN)
-    backwards = (Window.partitionBy(*GRID_KEYS).orderBy(F.col("Date").desc())
-                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    nxt = F.min("DateDeblocage").over(backwards)
-    return (on_grid.join(scope, CAMPAIGN, "left_semi")
-            .join(last_date, CAMPAIGN)
-            .select(*GRID_KEYS, "Date", F.coalesce(nxt, F.col("_last_date")).alias("DateDeblocage")))
-
-
-def release_buckets(flows_long: DataFrame, last_date: DataFrame, flags: DataFrame) -> DataFrame:
-    """(campaign, bucket date) for campaigns with releases on references."""
-    scope = flags.filter(F.col("has_release_ref")).select(*CAMPAIGN)
-    releases = flows_long.filter(F.col("kind") == F.lit("release")).select(*CAMPAIGN, F.col("Date").alias("_b"))
-    last = last_date.select(*CAMPAIGN, F.col("_last_date").alias("_b"))
-    return releases.unionByName(last).distinct().join(scope, CAMPAIGN, "left_semi")
-
-
-def booked_flows(flows_long: DataFrame, last_date: DataFrame, flags: DataFrame,
-                 partitions: int | None = None) -> DataFrame:
-    """By-reference flow rows with their bucket ``_b``: the smallest release
-    date of the same reference at or after the row's date (same day
-    included), else the campaign's last movement date."""
-    scope = flags.filter(F.col("has_release_ref")).select(*CAMPAIGN)
-    cols = [F.col(c) for c in GRID_KEYS]
-    rows = flows_long.join(scope, CAMPAIGN, "left_semi")
-    rows = rows.repartition(partitions, *cols) if partitions else rows.repartition(*cols)
-    backwards = (Window.partitionBy(*GRID_KEYS).orderBy(F.col("Date").desc())
-                 .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    nxt = F.min(F.when(F.col("kind") == F.lit("release"), F.col("Date"))).over(backwards)
-    return (rows.join(last_date, CAMPAIGN)
-            .select(*GRID_KEYS, "kind", "q", "m", F.coalesce(nxt, F.col("_last_date")).alias("_b")))
-
-
-def by_release_date(universe: DataFrame, buckets: DataFrame, booked: DataFrame, flags: DataFrame,
-                    partitions: int | None = None, broadcast_buckets: bool = False, salt: int = 32) -> DataFrame:
-    """Sums by (reference, release date) over every reference x every bucket
-    of the campaign (0 where nothing was booked), then running totals.
-    Buckets are a subset of the movement dates, so the grid's size check
-    covers them."""
-    frame = (campaign_join(universe, buckets, broadcast_buckets, salt)
-             .select(*GRID_KEYS, "_b", F.lit(None).cast("string").alias("kind"),
-                     F.lit(None).cast("double").alias("q"), F.lit(None).cast("double").alias("m")))
-    cols = [F.col(c) for c in GRID_KEYS]
-    union = frame.unionByName(booked.select(*GRID_KEYS, "_b", "kind", "q", "m"))
-    union = union.repartition(partitions, *cols) if partitions else union.repartition(*cols)
-    aggs = []
-    for fam, (_, qty, amt) in FLOWS.items():
-        is_fam = F.col("kind") == F.lit(fam)
-        aggs += [fsum0(F.when(is_fam, F.col("q"))).alias(qty), fsum0(F.when(is_fam, F.col("m"))).alias(amt)]
-    sums = union.groupBy(*GRID_KEYS, "_b").agg(*aggs).withColumnRenamed("_b", "DateDeblocage")
-    flag_cols = [F.col(f"has_{fam}_ref") for fam in FLOWS]
-    filled = (sums.join(flags.select(*CAMPAIGN, *flag_cols), CAMPAIGN)
-              .select(*GRID_KEYS, "DateDeblocage",
-                      *[F.when(F.col(f"has_{fam}_ref"), F.col(c)).alias(c) for fam, c in measures_by_family()]))
-    return with_running_totals(filled, "DateDeblocage")
+    ``rows`` are the opened flows.  Walking the dates backwards, the running
+    minimum of release dates gives a row's next release, its own day included
+    or not; the days between two rows of a reference see the later one's."""
+    back = Window.partitionBy(*GRID_KEYS).orderBy(F.col("Date").desc_nulls_last())
+    upto = back.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = back.rowsBetween(Window.unboundedPreceding, -1)
+    marked = rows.select(*GRID_KEYS, "Date", F.lag("Date").over(back).alias("_until"),
+                         F.min("DateDeblocage").over(upto).alias("_at"), F.min("DateDeblocage").over(before).alias("_later"))
+    booked = F.coalesce(F.when(F.col("_moves"), F.col("_at")).otherwise(F.col("_later")), F.col("_last_date"))
+    return (expanded(marked.join(last_date, CAMPAIGN), dates, "Date")
+            .select(*GRID_KEYS, F.col("_day").alias("Date"), booked.alias("DateDeblocage")))
+
+
+def release_buckets(flows: DataFrame, last_date: DataFrame) -> DataFrame:
+    """(campaign, DateDeblocage): release dates and the last movement date."""
+    releases = flows.where(F.col("DateDeblocage").isNotNull()).select(*CAMPAIGN, "DateDeblocage")
+    return releases.unionByName(last_date.withColumnRenamed("_last_date", "DateDeblocage")).distinct()
+
+
+def booked_timeline(rows: DataFrame, last_date: DataFrame) -> DataFrame:
+    """Opened flows summed by (reference, bucket), with running totals; the
+    opening row keeps its null date.  One shuffle on (campaign, reference)
+    serves the backward window, the group-by and the running window."""
+    back = (Window.partitionBy(*GRID_KEYS).orderBy(F.col("Date").desc_nulls_last())
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    bucket = F.when(F.col("Date").isNotNull(), F.coalesce(F.min("DateDeblocage").over(back), F.col("_last_date")))
+    sums = (rows.join(last_date, CAMPAIGN).select(*GRID_KEYS, bucket.alias("_bucket"), *MEASURES)
+            .groupBy(*GRID_KEYS, F.col("_bucket").alias("DateDeblocage"))
+            .agg(*[fsum0(c).cast(EXACT).alias(c) for c in MEASURES]))
+    return running(sums, "DateDeblocage")

@@ -1,64 +1,33 @@
-"""Campaign totals and the two-row summary (pieces, value)."""
+"""The two-row summary of a campaign (pieces, value)."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.functions.exprs import CAMPAIGN, fsum0, ratio
+from orderflow.functions.exprs import CAMPAIGN, ratio
 
 PCT_DECIMALS = 3
 
 
-def campaign_totals(purchases: DataFrame) -> DataFrame:
-    """Ordered pieces and amount per campaign: the denominators of every %."""
-    return purchases.groupBy(*CAMPAIGN).agg(
-        fsum0("QuantiteCommandeePiece").alias("qte_achat_tot"),
-        fsum0("MontantAchat").alias("montant_achat_tot"))
-
-
-def _family_totals(df: DataFrame, qty: str, amount: str, prefix: str) -> DataFrame:
-    return df.groupBy(*CAMPAIGN).agg(fsum0(qty).alias(prefix + "_q"), fsum0(amount).alias(prefix + "_m"))
-
-
-def campaign_summary(scope: DataFrame, totals: DataFrame, receipts: DataFrame, shipments_: DataFrame,
-                     releases_v: DataFrame, cancellations_v: DataFrame,
-                     small: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
-    """Two rows per campaign: ``QuantitePiece`` and ``Valo €``.
+def campaign_summary(facts: DataFrame, valued: DataFrame) -> DataFrame:
+    """Two rows per produced campaign: ``QuantitePiece`` and ``Valo €``.
 
-    Receipts and shipments always show (0 when none); release and cancellation
-    columns are null when the campaign has none.  Percentages are rounded half
-    to even to 3 decimals; a zero denominator gives null.  Every part has one
-    row per campaign; ``small`` marks such tables for broadcast (the caller
-    decides from the campaign count).
-    """
-    parts = [
-        _family_totals(receipts, "QuantiteReceptionPiece", "MontantReception", "rec"),
-        _family_totals(shipments_, "QuantiteExpeditionPiece", "MontantExpedition", "exp"),
-        _family_totals(releases_v, "QuantiteDeblocagePiece", "MontantDeblocage", "deb"),
-        _family_totals(cancellations_v, "QuantiteAnnulationPiece", "MontantAnnulation", "ann"),
-    ]
-    wide = scope.select(*CAMPAIGN).join(small(totals), CAMPAIGN)
-    for p in parts:
-        wide = wide.join(small(p), CAMPAIGN, "left")
+    ``facts`` holds what was ordered, received and shipped, ``valued`` the
+    releases and cancellations.  Receipts and shipments always show (0 when
+    none); release and cancellation columns are null when the campaign has
+    none.  Percentages are rounded half to even to 3 decimals; a zero
+    denominator gives null."""
+    wide = facts.where("status = 'ok'").join(valued, CAMPAIGN, "left")
 
-    def row(label: str, s: str, tot: str) -> F.Column:
-        rec = F.coalesce(F.col("rec_" + s), F.lit(0.0))
-        exp = F.coalesce(F.col("exp_" + s), F.lit(0.0))
-        pct = lambda c: F.bround(ratio(c, F.col(tot)), PCT_DECIMALS)
+    def row(label: str, s: str, tot: str) -> Column:
+        pct = lambda c: F.bround(ratio(c, tot), PCT_DECIMALS)
         return F.struct(
-            F.lit(label).alias("unite"),
-            F.col(tot).alias("commande"),
-            F.col("deb_" + s).alias("deblocage"),
-            rec.alias("reception"),
-            exp.alias("expedition"),
-            pct(F.col("deb_" + s)).alias("pct_deblocage"),
-            pct(rec).alias("pct_reception"),
-            pct(exp).alias("pct_expedition"),
-            F.col("ann_" + s).alias("annulation"),
-            pct(F.col("ann_" + s)).alias("pct_annulation"))
+            F.lit(label).alias("unite"), F.col(tot).alias("commande"), F.col("deb_" + s).alias("deblocage"),
+            F.col("rec_" + s).alias("reception"), F.col("exp_" + s).alias("expedition"),
+            pct("deb_" + s).alias("pct_deblocage"), pct("rec_" + s).alias("pct_reception"),
+            pct("exp_" + s).alias("pct_expedition"), F.col("ann_" + s).alias("annulation"),
+            pct("ann_" + s).alias("pct_annulation"))
 
     rows = F.array(row("QuantitePiece", "q", "qte_achat_tot"), row("Valo €", "m", "montant_achat_tot"))
     return wide.select(*CAMPAIGN, F.inline(rows))

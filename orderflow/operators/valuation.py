@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.functions.exprs import CAMPAIGN, RFC
+from orderflow.functions.exprs import CAMPAIGN, RFC, fsum0
 
 
 def purchase_price_by_ref(purchases: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -41,3 +41,21 @@ def cancellations_valued(cancellations: DataFrame, prices: DataFrame) -> DataFra
     can = cancellations.select(*CAMPAIGN, F.col("IDCommande").cast("string").alias("IDCommande"), RFC,
                                "QuantiteAnnulationPiece")
     return _value(can, prices, "QuantiteAnnulationPiece", "MontantAnnulation")
+
+
+def valued_totals(releases: DataFrame, cancellations: DataFrame, prices: DataFrame) -> DataFrame:
+    """Pieces and value of releases (``deb_``) and cancellations (``ann_``) per campaign, through one price join;
+    null for a family the campaign does not have."""
+    def listed(df: DataFrame, kind: str, qty: str) -> DataFrame:
+        return df.select(*CAMPAIGN, F.col("IDCommande").cast("string").alias("IDCommande"), RFC,
+                         F.lit(kind).alias("kind"), F.col(qty).alias("q"))
+
+    both = listed(releases, "deb", "QuantiteDeblocagePiece").unionByName(
+        listed(cancellations, "ann", "QuantiteAnnulationPiece"))
+    valued = _value(both, prices, "q", "m")
+    aggs = []
+    for kind in ("deb", "ann"):
+        own = F.col("kind") == F.lit(kind)
+        there = F.max(own)
+        aggs += [F.when(there, fsum0(F.when(own, F.col(c)))).alias(f"{kind}_{c}") for c in ("q", "m")]
+    return valued.groupBy(*CAMPAIGN).agg(*aggs)

@@ -1,16 +1,14 @@
 """The dossier: every output of every campaign as a lazy DataFrame.
 
-``Dossier(tables)`` wires the operators; ``dossier.query(key)`` returns one
-output.  Nothing runs until an action, except small, bounded steps taken the
-first time a plan needs them:
-
-* counts that decide broadcasts: campaigns (the parameter table), rows of the
-  checkpointed article -> reference map, (campaign, day) movement dates;
-* three reliable checkpoints in ``spark.checkpoint.dir``: the campaign status
-  (one row per campaign, filtered on by every output), the article ->
-  reference map (a dimension joined to every flow) and the by-reference flows
-  (read three times by the grid, each time with other columns, which defeats
-  exchange reuse).
+``Dossier(tables)`` wires the operators; ``dossier.query(key)``, or the
+attribute of that name, returns one output with doubles.  ``dossier.exact``
+has the same frames with exact decimals, from which later ones are computed.
+
+Three tables are written to the checkpoint folder the first time a plan needs
+them, because many plans start from them: the campaign facts (one row per
+campaign), the article -> reference map (a dimension) and, for the grid family
+only, the by-reference flows with their dates.  No plan hints a broadcast: the
+planner and AQE decide from sizes in bytes.
 """
 
 from __future__ import annotations
@@ -18,22 +16,12 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from orderflow.functions.exprs import CAMPAIGN
+from orderflow.functions.exprs import CAMPAIGN, doubles
 from orderflow.operators import byref, campaign, delivery, details, grid, orders, rebucket, refmap, summary, valuation
-from orderflow.session import ensure_checkpoint_dir
+from orderflow.session import stored
 from orderflow.sources.tables import DomainTables
 
-# Per-campaign tables are broadcast only below this many campaigns.
-MAX_BROADCAST_CAMPAIGNS = 200_000
-# The article -> reference lookup (one row per article and reference) is
-# broadcast only below this many rows; beyond it the planner / AQE decide.
-MAX_BROADCAST_LOOKUP = 2_000_000
-# The (campaign, day) table of movement dates is broadcast only below this
-# many rows; beyond it the grid join is salted.
-MAX_BROADCAST_DATES = 2_000_000
-
 QUERY_KEYS = [
     "campaigns", "campaign_status", "article_ref_map",
     "purchase_lines", "purchase_order_keys", "sales_lines", "sales_order_keys",
@@ -53,41 +41,35 @@ SINK_ONLY_KEYS = ["campaigns_produced"]
 
 
 class Dossier:
-    def __init__(self, tables: DomainTables, materialize: bool = True,
-                 grid_partitions: int | None = None, grid_salt: int = 32):
+    def __init__(self, tables: DomainTables, materialize: bool = True):
         self.t = tables
         self.spark = tables.campaigns.sparkSession
-        self.materialize = materialize
-        self.grid_partitions = grid_partitions
-        self.grid_salt = grid_salt
+        self.exact = ExactDossier(tables, materialize)
 
-    # ---- helpers -------------------------------------------------------
-    @cached_property
-    def n_campaigns(self) -> int:
-        return self.catalogues.select(*CAMPAIGN).distinct().count()
+    def query(self, key: str) -> DataFrame:
+        if key not in QUERY_KEYS and key not in SINK_ONLY_KEYS:
+            raise KeyError(key)
+        return doubles(getattr(self.exact, key))
 
-    def per_campaign(self, df: DataFrame) -> DataFrame:
-        """Broadcast a table with at most one row per campaign when the
-        campaign count allows it; otherwise leave the choice to the planner."""
-        return F.broadcast(df) if self.n_campaigns <= MAX_BROADCAST_CAMPAIGNS else df
+    def __getattr__(self, key: str) -> DataFrame:
+        if key in QUERY_KEYS or key in SINK_ONLY_KEYS:
+            return self.query(key)
+        raise AttributeError(key)
 
-    def scoped(self, df: DataFrame) -> DataFrame:
-        """Keep the rows of campaigns whose dossier is produced."""
-        ok = self.status.filter(F.col("status") == F.lit("ok")).select(*CAMPAIGN)
-        return df.join(self.per_campaign(ok), CAMPAIGN, "left_semi")
 
-    def _materialized(self, df: DataFrame) -> DataFrame:
-        """Reliable checkpoint in the session's checkpoint folder (lineage cut,
-        survives executor loss); a no-op when materialisation is off."""
-        if not self.materialize:
-            return df
-        ensure_checkpoint_dir(self.spark)
-        return df.checkpoint(eager=True)
+class ExactDossier:
+    """All frames, sums as exact decimals."""
 
-    def query(self, key: str) -> DataFrame:
-        if key not in QUERY_KEYS and key not in SINK_ONLY_KEYS:
-            raise KeyError(key)
-        return getattr(self, key)
+    def __init__(self, tables: DomainTables, materialize: bool = True):
+        self.t = tables
+        self.materialize = materialize
+
+    def _stored(self, df: DataFrame) -> DataFrame:
+        return stored(df) if self.materialize else df
+
+    def scoped(self, df: DataFrame) -> DataFrame:
+        """Keep the rows of campaigns whose dossier is produced."""
+        return df.join(self.produced.select(*CAMPAIGN), CAMPAIGN, "left_semi")
 
     # ---- dimension -----------------------------------------------------
     @cached_property
@@ -100,19 +82,12 @@ class Dossier:
 
     @cached_property
     def article_ref_map(self) -> DataFrame:
-        """Article dimension -> references; checkpointed once (a dimension,
-        read by every flow) so no plan recomputes its joins."""
-        return self._materialized(refmap.article_ref_map(self.t.article, self.t.couleur, self.t.article_pack))
+        """Article dimension -> references, read by every flow."""
+        return self._stored(refmap.article_ref_map(self.t.article, self.t.couleur, self.t.article_pack))
 
     @cached_property
     def lookup(self) -> DataFrame:
-        """(IDArticle, RFC) joined to every flow.  Counted (a scan of the
-        checkpointed map) and broadcast when within the limit, so the flows
-        are never shuffled on the article id for it."""
-        out = refmap.rfc_lookup(self.article_ref_map)
-        if self.materialize and self.article_ref_map.count() <= MAX_BROADCAST_LOOKUP:
-            return F.broadcast(out)
-        return out
+        return refmap.rfc_lookup(self.article_ref_map)
 
     # ---- raw flows (all campaigns of the parameter table) ---------------
     @cached_property
@@ -123,41 +98,27 @@ class Dossier:
     def _sales_rows_all(self) -> DataFrame:
         return orders.sales_rows(self.t.commande_vente, self.catalogues)
 
+    # ---- campaign facts --------------------------------------------------
     @cached_property
-    def _sales_all(self) -> DataFrame:
-        return orders.sales_lines(self._sales_rows_all)
+    def facts(self) -> DataFrame:
+        """Status, flags and totals of every listed campaign."""
+        receipts = orders.receipt_rows(self.t.mouvement, orders.purchase_order_keys(self._purchases_all), self.t.article)
+        shipped = orders.shipments(self.t.mouvement, orders.sales_order_keys(self._sales_rows_all), self.t.article)
+        return self._stored(campaign.campaign_facts(
+            self.t.campaigns, self._purchases_all, self.t.releases, self.t.cancellations, receipts, shipped, self.lookup))
 
     @cached_property
-    def _receipt_rows_all(self) -> DataFrame:
-        """Ungrouped receipts: enough for the flags (existence does not need
-        the per-day sums, and skipping them saves a shuffle of the movements)."""
-        keys = orders.purchase_order_keys(self._purchases_all)
-        return orders.receipt_rows(self.t.mouvement, keys, self.t.article)
-
-    @cached_property
-    def _shipments_all(self) -> DataFrame:
-        keys = orders.sales_order_keys(self._sales_rows_all)
-        return orders.shipments(self.t.mouvement, keys, self.t.article)
-
-    # ---- campaign status -------------------------------------------------
-    @cached_property
-    def status(self) -> DataFrame:
-        flags = campaign.campaign_flags(self._purchases_all, self.t.releases, self.t.cancellations,
-                                        self._receipt_rows_all, self._shipments_all, self.lookup)
-        return self._materialized(campaign.campaign_status(self.catalogues, flags))
-
-    @cached_property
-    def campaigns_produced(self) -> DataFrame:
-        """Parameter rows of the campaigns whose dossier is produced."""
-        return self.scoped(self.catalogues)
+    def produced(self) -> DataFrame:
+        return self.facts.where("status = 'ok'")
 
     @cached_property
     def campaign_status(self) -> DataFrame:
-        return self.status
+        return campaign.campaign_status(self.facts)
 
     @cached_property
-    def flags(self) -> DataFrame:
-        return self.per_campaign(self.status.filter(F.col("status") == F.lit("ok")))
+    def campaigns_produced(self) -> DataFrame:
+        """Parameter rows, all their columns, of the campaigns whose dossier is produced."""
+        return self.scoped(self.t.campaigns)
 
     # ---- flows of produced campaigns -------------------------------------
     @cached_property
@@ -168,13 +129,17 @@ class Dossier:
     def purchase_order_keys(self) -> DataFrame:
         return orders.purchase_order_keys(self.purchase_lines)
 
+    @cached_property
+    def _sales_rows(self) -> DataFrame:
+        return self.scoped(self._sales_rows_all)
+
     @cached_property
     def sales_lines(self) -> DataFrame:
-        return self.scoped(self._sales_all)
+        return orders.sales_lines(self._sales_rows)
 
     @cached_property
     def sales_order_keys(self) -> DataFrame:
-        return orders.sales_order_keys(self.scoped(self._sales_rows_all))
+        return orders.sales_order_keys(self._sales_rows)
 
     @cached_property
     def receipts_daily(self) -> DataFrame:
@@ -199,112 +164,121 @@ class Dossier:
     # ---- totals and summary ----------------------------------------------
     @cached_property
     def campaign_totals(self) -> DataFrame:
-        return summary.campaign_totals(self.purchase_lines)
-
-    @cached_property
-    def totals(self) -> DataFrame:
-        return self.per_campaign(self.campaign_totals)
+        return campaign.campaign_totals(self.facts)
 
     @cached_property
     def campaign_summary(self) -> DataFrame:
-        return summary.campaign_summary(self.flags, self.campaign_totals, self.receipts_daily, self.shipments,
-                                        self.releases_valued, self.cancellations_valued, small=self.per_campaign)
+        valued = valuation.valued_totals(self.scoped(self.t.releases), self.scoped(self.t.cancellations),
+                                         self.purchase_price_by_ref)
+        return summary.campaign_summary(self.facts, valued)
 
     # ---- by reference and date -------------------------------------------
-    def _keyed(self, flow: DataFrame) -> DataFrame:
-        return byref.keyed_rows(flow, self.lookup)[0]
-
     @cached_property
     def purchases_by_ref_date(self) -> DataFrame:
-        return byref.flow_by_ref_date(self.purchase_lines, self.lookup)
+        return byref.flow_by_ref_date(self.purchase_lines, self.lookup, byref.PURCHASE)
+
+    def _family(self, family: str, flow: DataFrame) -> DataFrame:
+        return byref.flow_by_ref_date(flow, self.lookup, byref.FLOWS[family])
 
     @cached_property
     def releases_by_ref_date(self) -> DataFrame:
-        return byref.family_by_ref_date(self._flows_long, "release")
+        return self._family("release", self.releases_valued)
 
     @cached_property
     def receipts_by_ref_date(self) -> DataFrame:
-        return byref.family_by_ref_date(self._flows_long, "receipt")
+        return self._family("receipt", self.receipts_daily)
 
     @cached_property
     def shipments_by_ref_date(self) -> DataFrame:
-        return byref.family_by_ref_date(self._flows_long, "shipment")
+        return self._family("shipment", self.shipments)
+
+    def _shares(self, family: str, flow: DataFrame) -> DataFrame:
+        _, qty, amount = byref.FLOWS[family]
+        return byref.with_pct(flow, self.campaign_totals, [qty], [amount])
 
     @cached_property
     def pct_releases(self) -> DataFrame:
-        return byref.with_pct(self.releases_by_ref_date, self.totals)
+        return self._shares("release", self.releases_by_ref_date)
 
     @cached_property
     def pct_receipts(self) -> DataFrame:
-        return byref.with_pct(self.receipts_by_ref_date, self.totals)
+        return self._shares("receipt", self.receipts_by_ref_date)
 
     @cached_property
     def pct_shipments(self) -> DataFrame:
-        return byref.with_pct(self.shipments_by_ref_date, self.totals)
+        return self._shares("shipment", self.shipments_by_ref_date)
 
     # ---- grid and running totals -----------------------------------------
     @cached_property
-    def _keyed_movements(self) -> dict[str, DataFrame]:
-        return {"release": self._keyed(self.releases_valued),
-                "receipt": self._keyed(self.receipts_daily),
-                "shipment": self._keyed(self.shipments)}
-
-    @cached_property
-    def _flows_long(self) -> DataFrame:
-        """By-reference flows of all families.  Read three times by the grid
-        (references, dates, values), each time with other columns, which
-        defeats exchange reuse; so it is checkpointed once."""
-        return self._materialized(byref.flows_long(self._keyed_movements))
+    def _flows(self) -> DataFrame:
+        """By-reference flows of all families, sparse; the grid family starts from them."""
+        keyed = {"release": self.releases_valued, "receipt": self.receipts_daily, "shipment": self.shipments}
+        return self._stored(byref.flows_wide(
+            {fam: byref.keyed_rows(flow, self.lookup, byref.FLOWS[fam][0]) for fam, flow in keyed.items()}))
 
     @cached_property
     def ref_universe(self) -> DataFrame:
-        return grid.ref_universe([self._keyed(self.purchase_lines), self._flows_long])
+        ordered = byref.keyed_rows(self.purchase_lines, self.lookup, byref.PURCHASE[0])
+        return grid.ref_universe([ordered, self._flows])
 
     @cached_property
     def movement_dates(self) -> DataFrame:
-        return grid.movement_dates(self._flows_long)
+        return self._stored(grid.movement_dates(self._flows))
 
     @cached_property
-    def broadcast_dates(self) -> bool:
-        """Size check of the movement dates (a distinct over the checkpointed
-        flows, so cheap); without materialisation, never broadcast."""
-        return self.materialize and self.movement_dates.count() <= MAX_BROADCAST_DATES
+    def ref_date_grid(self) -> DataFrame:
+        return grid.ref_date_grid(self.ref_universe, self.movement_dates)
 
     @cached_property
-    def ref_date_grid(self) -> DataFrame:
-        return grid.ref_date_grid(self.ref_universe, self.movement_dates, self.broadcast_dates, self.grid_salt)
+    def _opened(self) -> DataFrame:
+        return grid.opened(self.ref_universe, self._flows)
+
+    @cached_property
+    def _timeline(self) -> DataFrame:
+        return grid.running(self._opened, "Date")
 
     @cached_property
     def movements_on_grid(self) -> DataFrame:
-        return grid.movements_on_grid(self.ref_date_grid, self._flows_long, self.grid_partitions)
+        return grid.movements_on_grid(self._timeline, self.movement_dates)
+
+    @cached_property
+    def _cumulative(self) -> DataFrame:
+        return grid.cumulative(self._timeline, self.movement_dates, self.facts, "Date")
 
     @cached_property
     def cumulative_by_date(self) -> DataFrame:
-        return grid.cumulative_by_date(self.movements_on_grid, self.flags)
+        return grid.without_totals(self._cumulative)
 
     @cached_property
     def pct_cum_by_date(self) -> DataFrame:
-        return byref.with_pct(self.cumulative_by_date, self.totals, cumulative=True)
+        return grid.as_shares(self._cumulative)
 
     # ---- re-bucketing ----------------------------------------------------
+    def _released(self, df: DataFrame) -> DataFrame:
+        """Rows of campaigns with releases on references."""
+        return df.join(self.produced.where("has_release_ref").select(*CAMPAIGN), CAMPAIGN, "left_semi")
+
     @cached_property
     def _last_date(self) -> DataFrame:
-        return self.per_campaign(rebucket.last_movement_date(self.movement_dates))
+        return self._stored(rebucket.last_movement_date(self._released(self.movement_dates)))
 
     @cached_property
     def next_release_date(self) -> DataFrame:
-        return rebucket.next_release_date(self.movements_on_grid, self._last_date, self.flags)
+        return rebucket.next_release_date(self._opened, self.movement_dates, self._last_date)
+
+    @cached_property
+    def _by_release(self) -> DataFrame:
+        buckets = self._stored(rebucket.release_buckets(self._released(self._flows), self._last_date))
+        timeline = rebucket.booked_timeline(self._opened, self._last_date)
+        return grid.cumulative(timeline, buckets, self.facts, "DateDeblocage")
 
     @cached_property
     def by_release_date(self) -> DataFrame:
-        buckets = rebucket.release_buckets(self._flows_long, self._last_date, self.flags)
-        booked = rebucket.booked_flows(self._flows_long, self._last_date, self.flags, self.grid_partitions)
-        return rebucket.by_release_date(self.ref_universe, buckets, booked, self.flags, self.grid_partitions,
-                                        self.broadcast_dates, self.grid_salt)
+        return grid.without_totals(self._by_release)
 
     @cached_property
     def pct_cum_by_release_date(self) -> DataFrame:
-        return byref.with_pct(self.by_release_date, self.totals, cumulative=True)
+        return grid.as_shares(self._by_release)
 
     # ---- delay, lateness, details ----------------------------------------
     @cached_property
@@ -321,7 +295,7 @@ class Dossier:
 
     @cached_property
     def shipments_with_catalogue(self) -> DataFrame:
-        return details.with_catalogue(self.shipments, self.sales_lines, "IDCommandeVente")
+        return details.with_catalogue(self.shipments, self._sales_rows, "IDCommandeVente")
 
     @cached_property
     def duplicate_release_alerts(self) -> DataFrame:

@@ -1,10 +1,14 @@
 """Sink job: write the whole dossier of every produced campaign.
 
-One folder per table, partitioned by (Marque, Saison); a table with no rows
-for a campaign simply has no partition for it.  The shared inputs of later
-tables (order lines, movements, valued releases, the reference map) are
-written first and read back, so later tables start from stored data instead
-of recomputing their lineage, and a lost executor only costs the stage it ran.
+One folder per table, partitioned by (brand, season), copies of the campaign
+key; the key columns themselves stay inside the files, so a season such as
+"01" or an empty one is read back as written.  A table with no rows for a
+campaign simply has no partition for it; files are sorted by reference and
+date.  The shared inputs of later tables (order lines, movements, valued
+releases, the reference map, sparse flows) are written first and read back, so
+later tables start from stored data instead of recomputing their lineage, and
+a lost executor only costs the stage it ran.  Rejected input rows are written
+to ``rejets``, the status of every listed campaign to ``campagnes_statut``.
 """
 
 from __future__ import annotations
@@ -42,13 +46,13 @@ DOSSIER_TABLES = {
 # Shared inputs written first, by dependency level: the tables of one level
 # only read tables of earlier levels, so a level is written concurrently.
 STAGED_LEVELS = [
-    ["article_ref_map"],
     ["purchase_lines", "sales_lines"],
     ["receipts_daily", "shipments", "purchase_price_by_ref"],
     ["releases_valued", "cancellations_valued"],
-    ["movements_on_grid"],
 ]
 STAGED = [key for level in STAGED_LEVELS for key in level]
+PARTITIONS = ["brand", "season"]
+
 
 @dataclass
 class SinkReport:
@@ -59,40 +63,43 @@ class SinkReport:
 # Second range key after the campaign: a big campaign is split into several
 # write tasks by it instead of landing in one task.
 SPLIT_COLUMNS = [RFC, "IDCommande", "IDCommandeAchat", "IDCommandeVente", "IDArticle"]
+DATE_COLUMNS = ["Date", "DateDeblocage", "DateReception", "DateExpedition", "DateLivraisonAttendue"]
 
 
-def _write(df: DataFrame, path: str, partitioned: bool = True) -> None:
+def _write(df: DataFrame, path: str) -> None:
     """Parquet, one folder per campaign.  Rows are range-partitioned on the
     campaign then a high-cardinality column, so each write task covers a
-    contiguous run of campaigns (few files) and no campaign is one task."""
-    if partitioned:
-        split = [c for c in SPLIT_COLUMNS if c in df.columns][:1]
-        df = df.repartitionByRange(*CAMPAIGN, *split)
-        df.write.mode("overwrite").partitionBy(*CAMPAIGN).parquet(path)
-    else:
-        df.write.mode("overwrite").parquet(path)
+    contiguous run of campaigns (few files) and no campaign is one task, and
+    sorted by that column and the date inside."""
+    split = [c for c in SPLIT_COLUMNS if c in df.columns][:1]
+    order = [*split, *[c for c in DATE_COLUMNS if c in df.columns][:1]]
+    for copy, key in zip(PARTITIONS, CAMPAIGN):
+        df = df.withColumn(copy, df[key])
+    (df.repartitionByRange(*CAMPAIGN, *split).sortWithinPartitions(*PARTITIONS, *order)
+     .write.mode("overwrite").partitionBy(*PARTITIONS).parquet(path))
 
 
 def write_dossier(dossier: Dossier, root: str, parallel_writes: int = 4) -> SinkReport:
     """Write every table.  Shared inputs are written and read back first,
     level by level; then every output plan is built on the driver thread (so
-    each checkpoint and size check runs once) and the independent writes are
-    submitted as concurrent Spark jobs (``parallel_writes`` at a time)."""
+    each stored table is made once) and the independent writes are submitted
+    as concurrent Spark jobs (``parallel_writes`` at a time)."""
     spark = dossier.spark
     root = root.rstrip("/")
-    _write(dossier.campaign_status, f"{root}/campagnes_statut", partitioned=False)
+    dossier.query("campaign_status").write.mode("overwrite").parquet(f"{root}/campagnes_statut")
+    if dossier.t.rejects is not None:
+        dossier.t.rejects.write.mode("overwrite").parquet(f"{root}/rejets")
 
-    # Stage shared inputs level by level, then point the dossier at the copies.
+    # Stage shared inputs level by level, as exact decimals and without
+    # partitions, then point the dossier at the copies.
     with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
         for level in STAGED_LEVELS:
-            frames = {key: dossier.query(key) for key in level}
+            frames = {key: getattr(dossier.exact, key) for key in level}
             paths = {key: f"{root}/_stage/{key}" for key in level}
-            for future in [pool.submit(_write, frames[k], paths[k], k != "article_ref_map") for k in level]:
+            for future in [pool.submit(frames[k].write.mode("overwrite").parquet, paths[k]) for k in level]:
                 future.result()
             for key in level:
-                dossier.__dict__[key] = spark.read.parquet(paths[key]).select(*frames[key].columns)
-                if key == "article_ref_map":
-                    dossier.__dict__.pop("lookup", None)
+                dossier.exact.__dict__[key] = spark.read.schema(frames[key].schema).parquet(paths[key])
 
     frames = {sheet: dossier.query(key) for sheet, key in DOSSIER_TABLES.items()}
     paths = {sheet: f"{root}/{sheet}" for sheet in DOSSIER_TABLES}

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the engine relies on.  AQE re-plans joins from runtime sizes
 # (broadcast when a side turns out small, skew splitting otherwise) and
@@ -53,3 +54,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="orderflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as parquet below the checkpoint folder and read it back with its own schema.
+
+    Cuts the lineage like a checkpoint, but plans on top of it prune columns, push filters and know its size.  The
+    folder is the session's ``spark.checkpoint.dir``; give it a retention rule, as for checkpoints."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

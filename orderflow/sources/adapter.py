@@ -6,11 +6,15 @@ lineitem row joined to its order, customer, nation and region:
 
 * campaign = (region name, order year); catalogue = nation * 10000 + year;
 * articles from parts: every 10th part is a pack of 2-4 pieces made of the 1-3
-  following parts, every 97th has no supplier reference, colours for parts not
-  divisible by 3;
+  following parts, every 97th has no supplier reference; the colour is the
+  part's type, for parts not divisible by 3;
 * purchase line and sales line per lineitem; receipts of finished lines,
-  shipments of 'A' lines, noise movements of type 40, releases for odd line
-  numbers, cancellations for open second lines.  Dates are cut to weeks.
+  shipments of 'A' lines, noise movements of type 40, releases of every line
+  that is not cancelled (one day, or two for taxed lines), cancellations of
+  returned open lines.
+
+Each domain table is its own narrow projection of the source tables: only the
+joins and columns it needs, so filters and column lists reach the scans.
 """
 
 from __future__ import annotations
@@ -19,10 +23,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.operators.refmap import article_ref_map, rfc_lookup
-from orderflow.session import ensure_checkpoint_dir
 from orderflow.sources.tables import DomainTables
 
 TPCH_TABLES = ["region", "nation", "customer", "part", "orders", "lineitem"]
+# Lines taxed this much or more are released on two days, a week apart.
+TWO_RELEASES_TAX = 0.04
 
 
 def read_tpch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -33,60 +38,33 @@ def _id(prefix: str, c: str) -> Column:
     return F.concat(F.lit(prefix), F.col(c).cast("string"))
 
 
-def _week(d: Column) -> Column:
-    return F.trunc(d, "week")
-
-
 def unit_price(extended: Column, qty: Column) -> Column:
     """Extended price / quantity to the cent, half up, in plain IEEE double
     arithmetic (every engine computes the same value)."""
     return F.floor(extended * F.lit(100.0) / qty + F.lit(0.5)).cast("double") / F.lit(100.0)
 
 
-def lines(t: dict[str, DataFrame]) -> DataFrame:
-    li = t["lineitem"].select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
-                              "l_returnflag", "l_linestatus")
-    o = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
-    c = t["customer"].select("c_custkey", "c_nationkey")
-    n = t["nation"].select("n_nationkey", "n_regionkey")
-    r = t["region"].select("r_regionkey", "r_name")
-    joined = (li.join(o, li.l_orderkey == o.o_orderkey)
-              .join(c, o.o_custkey == c.c_custkey)
-              .join(n, c.c_nationkey == n.n_nationkey)
-              .join(r, n.n_regionkey == r.r_regionkey))
-    od = F.to_date("o_orderdate")
-    return joined.select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus",
-        od.alias("od"),
-        ((F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13) % 60).cast("int").alias("k"),
-        _id("A", "l_partkey").alias("art"),
-        _id("PO", "l_orderkey").alias("po"),
-        _id("SO", "l_orderkey").alias("so"),
-        unit_price(F.col("l_extendedprice"), F.col("l_quantity")).alias("unit"),
-        (F.col("c_nationkey") * 10000 + F.year("o_orderdate")).cast("int").alias("cat"),
-        F.col("r_name").alias("Marque"),
-        F.year("o_orderdate").cast("string").alias("Saison"),
-        F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), F.lit(99))
-         .otherwise(F.lit(10)).alias("Statut"))
-
-
-def domain_from_tpch(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DomainTables:
-    """Domain tables derived from the test tables of ``sf_dir``.
-
-    ``line`` (the five-way join) feeds eight domain tables, each with other
-    columns and filters, so no exchange can be reused between them; with
-    ``materialize`` it is checkpointed once (reliable checkpoint in the
-    session's checkpoint folder) instead of being joined again in every
-    branch of every plan."""
+def _cancelled() -> Column:
+    return (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
+
+
+def domain_from_tpch(spark: SparkSession, sf_dir: str) -> DomainTables:
+    """Domain tables derived from the test tables of ``sf_dir`` (lazy)."""
     t = read_tpch(spark, sf_dir)
-    line = lines(t)
-    if materialize:
-        ensure_checkpoint_dir(spark)
-        line = line.checkpoint(eager=True)
-    part = t["part"]
-    pk = F.col("p_partkey")
-
-    campaigns = line.select("Marque", "Saison", F.col("cat").alias("IDCatalogue")).distinct()
+    line = t["lineitem"]
+    od = F.to_date("o_orderdate")
+    lag = ((F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13) % 60).cast("int")
+    art, po, so = _id("A", "l_partkey"), _id("PO", "l_orderkey"), _id("SO", "l_orderkey")
+    unit = unit_price(F.col("l_extendedprice"), F.col("l_quantity"))
+    status = F.when(_cancelled(), F.lit(99)).otherwise(F.lit(10))
+    dated = line.join(t["orders"].select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
+    placed = dated.join(t["customer"].select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    cat = (F.col("c_nationkey") * 10000 + F.year("o_orderdate")).cast("int")
+    brand = (t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+             .select(F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("Marque")))
+    campaign = placed.join(brand, "c_nationkey").withColumn("Saison", F.year("o_orderdate").cast("string"))
+
+    part, pk = t["part"], F.col("p_partkey")
     is_pack = pk % 10 == 0
     article = part.select(
         _id("A", "p_partkey").alias("IDArticle"),
@@ -100,43 +78,41 @@ def domain_from_tpch(spark: SparkSession, sf_dir: str, materialize: bool = True)
                             F.explode(F.array(*[F.lit(i) for i in (1, 2, 3)])).alias("_n"), "p_partkey")
                     .select("CodePack", F.concat(F.lit("A"), (pk + F.col("_n")).cast("string")).alias("CodeArticle")))
     couleur = (part.filter(pk % 3 != 0)
-               .select(_id("A", "p_partkey").alias("CodeM3"), F.substring("p_name", 1, 3).alias("CodeCouleur")))
-
-    expected = F.date_add("od", 20).cast("timestamp_ntz")
-    commande_achat = line.select(
-        F.col("po").alias("IDCommandeAchat"), F.col("cat").alias("IDCatalogue"), F.col("art").alias("IDArticle"),
-        expected.alias("DateLivraisonAttendue"), F.col("l_quantity").alias("QuantiteCommandee"),
-        F.col("unit").alias("PrixAchat"), "Statut")
-    commande_vente = line.select(
-        F.col("so").alias("IDCommandeVente"), F.col("cat").alias("IDCatalogue"), F.col("art").alias("IDArticle"),
-        F.col("l_quantity").alias("QuantiteCommandee"), "Statut")
-
-    def movement(kind: int, order: str, date: Column, qty: Column, value: Column, cond: Column) -> DataFrame:
-        return line.filter(cond).select(
-            F.lit(kind).cast("int").alias("IDTypeMouvement"), F.col(order).alias("IDCommande"),
-            F.col("art").alias("IDArticle"), date.cast("timestamp_ntz").alias("DateMouvement"),
-            qty.alias("QuantiteMouvement"), value.cast("double").alias("CAMVMvt"))
-
-    receipt_day = F.when(F.col("l_orderkey") % 101 == 0, F.lit(None).cast("date")) \
-        .otherwise(_week(F.date_add("od", F.col("k"))))
-    shipment_day = F.when(F.col("l_orderkey") % 103 == 0, F.lit(None).cast("date")) \
-        .otherwise(_week(F.date_add("od", F.col("k") + 14)))
-    mouvement = (movement(25, "po", receipt_day, F.col("l_quantity"), F.col("unit"), F.col("l_linestatus") == "F")
-                 .unionByName(movement(31, "so", shipment_day, -F.col("l_quantity"), F.col("unit"),
-                                       F.col("l_returnflag") == "A"))
-                 .unionByName(movement(40, "po", F.col("od"), F.col("l_quantity"), F.lit(0),
-                                       F.col("l_returnflag") == "N")))
-
-    lookup = rfc_lookup(article_ref_map(article, couleur, article_pack)).withColumnRenamed("IDArticle", "art")
-    on_ref = line.join(lookup, "art", "left")
-    releases = (on_ref.filter(F.col("l_linenumber") % 2 == 1)
-                .select("Marque", "Saison", F.col("po").alias("IDCommande"), "ReferenceFournisseurCouleur",
-                        _week(F.date_add("od", (F.col("l_orderkey") % 28).cast("int"))).alias("DateDeblocage"),
-                        F.col("l_quantity").alias("QuantiteDeblocagePiece"))
-                .distinct())
-    cancellations = (on_ref.filter((F.col("l_linenumber") == 2) & (F.col("l_linestatus") == "O"))
-                     .select("Marque", "Saison", F.col("po").alias("IDCommande"), "ReferenceFournisseurCouleur",
-                             (F.lit(1) + F.col("l_orderkey") % 3).cast("double").alias("QuantiteAnnulationPiece")))
+               .select(_id("A", "p_partkey").alias("CodeM3"), F.col("p_type").alias("CodeCouleur")))
+
+    commande_achat = placed.select(
+        po.alias("IDCommandeAchat"), cat.alias("IDCatalogue"), art.alias("IDArticle"),
+        F.date_add(od, 20).cast("timestamp_ntz").alias("DateLivraisonAttendue"),
+        F.col("l_quantity").alias("QuantiteCommandee"), unit.alias("PrixAchat"), status.alias("Statut"))
+    commande_vente = placed.select(
+        so.alias("IDCommandeVente"), cat.alias("IDCatalogue"), art.alias("IDArticle"),
+        F.col("l_quantity").alias("QuantiteCommandee"), status.alias("Statut"))
+
+    def movement(kind: int, order: Column, day: Column, qty: Column, value: Column, cond: Column) -> DataFrame:
+        return dated.filter(cond).select(
+            F.lit(kind).cast("int").alias("IDTypeMouvement"), order.alias("IDCommande"), art.alias("IDArticle"),
+            day.cast("timestamp_ntz").alias("DateMouvement"), qty.alias("QuantiteMouvement"),
+            value.cast("double").alias("CAMVMvt"))
+
+    undated = F.lit(None).cast("date")
+    received = F.when(F.col("l_orderkey") % 101 == 0, undated).otherwise(F.date_add(od, lag))
+    shipped = F.when(F.col("l_orderkey") % 103 == 0, undated).otherwise(F.date_add(od, lag + 14))
+    mouvement = (movement(25, po, received, F.col("l_quantity"), unit, F.col("l_linestatus") == "F")
+                 .unionByName(movement(31, so, shipped, -F.col("l_quantity"), unit, F.col("l_returnflag") == "A"))
+                 .unionByName(movement(40, po, od, F.col("l_quantity"), F.lit(0), F.col("l_returnflag") == "N")))
+
+    lookup = rfc_lookup(article_ref_map(article, couleur, article_pack))
+    on_ref = campaign.withColumn("IDArticle", art).join(lookup, "IDArticle", "left")
+    first = F.date_add(od, (F.col("l_orderkey") % 28).cast("int"))
+    twice = F.col("l_tax") >= F.lit(TWO_RELEASES_TAX)
+    releases = (on_ref.filter(~_cancelled())
+                .withColumn("DateDeblocage", F.explode(F.when(twice, F.array(first, F.date_add(first, 7))).otherwise(F.array(first))))
+                .select("Marque", "Saison", po.alias("IDCommande"), "ReferenceFournisseurCouleur", "DateDeblocage",
+                        F.when(twice, F.col("l_quantity") / 2).otherwise(F.col("l_quantity")).alias("QuantiteDeblocagePiece")))
+    cancellations = (on_ref.filter((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O"))
+                     .select("Marque", "Saison", po.alias("IDCommande"), "ReferenceFournisseurCouleur",
+                             F.col("l_linenumber").cast("double").alias("QuantiteAnnulationPiece")))
+    campaigns = campaign.select("Marque", "Saison", cat.alias("IDCatalogue")).distinct()
     return DomainTables(campaigns=campaigns, commande_achat=commande_achat, commande_vente=commande_vente,
                         mouvement=mouvement, article=article, couleur=couleur, article_pack=article_pack,
                         releases=releases, cancellations=cancellations).conformed()

@@ -9,13 +9,16 @@ living in one file per campaign.  Locations are always parameters.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderflow.schemas import DOMAIN_SCHEMAS
 
+CORRUPT = "_corrupt_record"
+
 
 @dataclass(frozen=True)
 class DomainTables:
@@ -28,16 +31,40 @@ class DomainTables:
     article_pack: DataFrame
     releases: DataFrame
     cancellations: DataFrame
+    # (source, record) of input rows that do not fit their table's schema.
+    rejects: DataFrame | None = None
 
     def conformed(self) -> "DomainTables":
         """Select and cast every table to its declared schema (column pruning
-        starts here: nothing else is read from the sources)."""
+        starts here: nothing else is read from the sources).  The parameter
+        table keeps its other columns as well."""
         out = {}
-        for f in fields(self):
-            schema = DOMAIN_SCHEMAS[f.name]
-            df = getattr(self, f.name)
-            out[f.name] = df.select(*[F.col(s.name).cast(s.dataType).alias(s.name) for s in schema])
-        return DomainTables(**out)
+        for name, schema in DOMAIN_SCHEMAS.items():
+            df = getattr(self, name)
+            more = [c for c in df.columns if c not in schema.names] if name == "campaigns" else []
+            out[name] = df.select(*[F.col(s.name).cast(s.dataType).alias(s.name) for s in schema], *more)
+        return DomainTables(**out, rejects=self.rejects)
+
+
+def _with_text_keys(found: T.StructType, schema: T.StructType) -> T.StructType:
+    """The schema found, with the declared text columns as text: Spark infers the types of partition columns, and
+    reads the season "01" as the number 1."""
+    text = {f.name for f in schema if isinstance(f.dataType, T.StringType)}
+    return T.StructType([T.StructField(f.name, T.StringType() if f.name in text else f.dataType) for f in found.fields])
+
+
+def _split(df: DataFrame, name: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows that fit the schema, the others as (source, record))."""
+    unfit = F.lit(False)
+    for f in schema:
+        if df.schema[f.name].dataType != f.dataType:
+            unfit = unfit | (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
+    record = F.to_json(F.struct(*[F.col(c) for c in df.columns if c != CORRUPT]))
+    if CORRUPT in df.columns:
+        unfit = unfit | F.col(CORRUPT).isNotNull()
+        record = F.coalesce(F.col(CORRUPT), record)
+    bad = df.where(unfit).select(F.lit(name).alias("source"), record.alias("record"))
+    return df.where(~unfit).drop(CORRUPT), bad
 
 
 def read_domain_tables(spark: SparkSession, root: str, fmt: str = "parquet",
@@ -45,31 +72,42 @@ def read_domain_tables(spark: SparkSession, root: str, fmt: str = "parquet",
     """Read the nine domain tables from ``root/<name>`` with explicit schemas.
 
     ``fmt`` is any Spark source (parquet, orc, csv, json); CSV needs
-    ``options={"header": "true"}``.  No schema inference; text formats fail
-    on a malformed row unless another ``mode`` is given.
-    """
-    opts = dict(options or {})
-    if fmt in ("csv", "json"):
-        # A malformed row stops the read instead of becoming nulls.
-        opts.setdefault("mode", "FAILFAST")
-    tables = {}
+    ``options={"header": "true"}``.  Rows that are malformed, or whose values
+    do not fit the schema, do not stop the job: they go to ``rejects``, and
+    every other row of every campaign is used."""
+    text = fmt in ("csv", "json")
+    tables, rejected = {}, []
     for name, schema in DOMAIN_SCHEMAS.items():
-        reader = spark.read.format(fmt).options(**opts)
-        if fmt != "parquet":
-            reader = reader.schema(schema)
-        tables[name] = reader.load(f"{root.rstrip('/')}/{name}")
-    return DomainTables(**tables).conformed()
+        path = f"{root.rstrip('/')}/{name}"
+
+        def reader():
+            return spark.read.format(fmt).options(**(options or {}))
+
+        if text:
+            # As text and unpruned, so that every plan sees the same rows as malformed, whatever columns it needs.
+            wide = T.StructType([T.StructField(c, T.StringType()) for c in (*schema.names, CORRUPT)])
+            df = (reader().option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+                  .option("columnPruning", "false").schema(wide).load(path))
+        else:
+            df = reader().load(path)
+            df = reader().schema(_with_text_keys(df.schema, schema)).load(path)
+        tables[name], bad = _split(df, name, schema)
+        rejected.append(bad)
+    rejects = rejected[0]
+    for bad in rejected[1:]:
+        rejects = rejects.unionByName(bad)
+    return DomainTables(**tables, rejects=rejects).conformed()
 
 
 def write_domain_tables(tables: DomainTables, root: str, mode: str = "overwrite",
                         files: int | None = None) -> None:
     """Persist domain tables as parquet (used to stage adapter output).
     ``files`` spreads each table over that many files so scans split evenly."""
-    for f in fields(tables):
-        df = getattr(tables, f.name)
+    for name in DOMAIN_SCHEMAS:
+        df = getattr(tables, name)
         if files:
             df = df.repartition(files)
-        df.write.mode(mode).parquet(f"{root.rstrip('/')}/{f.name}")
+        df.write.mode(mode).parquet(f"{root.rstrip('/')}/{name}")
 
 
 def tables_from_rows(spark: SparkSession, **rows) -> DomainTables:

@@ -51,34 +51,60 @@ def pdf(df):
     return df.toPandas()
 
 
-def brute_delay(rel, rec, lookup):
-    rec = rec.merge(lookup, on="IDArticle").dropna(subset=[RFC])
-    rec = rec.groupby(["IDCommande", RFC, "DateReception"], as_index=False)["QuantiteReceptionPiece"].sum()
-    pairs = rel.dropna(subset=[RFC]).merge(rec, on=["IDCommande", RFC])
-    pairs["delai"] = [(a - b).days - 1 for a, b in zip(pairs.DateReception, pairs.DateDeblocage)]
-    pairs = pairs[pairs.delai > 0]
-    pairs["dq"] = pairs.delai * pairs.QuantiteReceptionPiece
-    g = pairs.groupby([RFC, "DateDeblocage"]).agg(delai_j=("delai", "mean"), q=("QuantiteReceptionPiece", "sum"),
-                                                  dq=("dq", "sum")).reset_index()
-    g["delai_pondere_j"] = g.dq / g.q
-    return sorted((r[RFC], r.DateDeblocage, round(r.delai_j, 9), round(r.delai_pondere_j, 9)) for _, r in g.iterrows())
-
-
-def brute_late(lines, rec, lookup):
-    df = lines.merge(rec, left_on=["IDCommandeAchat", "IDArticle"], right_on=["IDCommande", "IDArticle"])
-    df["late"] = [(pd.Timestamp(r) - pd.Timestamp(e)).total_seconds() / 86400 - 1
-                  for r, e in zip(df.DateReception, df.DateLivraisonAttendue)]
-    df = df[df.late > 0].merge(lookup, on="IDArticle")
-    keys = [RFC, "IDCommandeAchat", "IDCatalogue", "DateLivraisonAttendue", "QuantiteCommandeePiece",
-            "PrixAchatPiece", "MontantAchat"]
-    df = df.dropna(subset=keys)
-    df["lq"] = df.late * df.QuantiteReceptionPiece
-    g = df.groupby(keys).agg(mn=("DateReception", "min"), mx=("DateReception", "max"),
-                             m=("MontantReception", "sum"), lq=("lq", "sum"),
-                             q=("QuantiteReceptionPiece", "sum")).reset_index()
-    ts = lambda x: datetime(x.year, x.month, x.day)
-    return sorted((r[RFC], r.IDCommandeAchat, r.QuantiteCommandeePiece, r.MontantAchat, ts(r.mn), ts(r.mx), round(r.m, 6),
-                   round(r.lq / r.q, 6)) for _, r in g.iterrows())
+def records(df):
+    return [r.asDict() for r in df.collect()]
+
+
+def references(lookup):
+    """Article -> its non-null references."""
+    out = {}
+    for r in lookup:
+        if r[RFC] is not None:
+            out.setdefault(r["IDArticle"], []).append(r[RFC])
+    return out
+
+
+def brute_delay(releases, receipts, refs):
+    """Every release against every receipt booked on its order and reference."""
+    booked = {}
+    for r in receipts:
+        for ref in refs.get(r["IDArticle"], []):
+            key = (r["IDCommande"], ref, r["DateReception"])
+            booked[key] = booked.get(key, 0.0) + r["QuantiteReceptionPiece"]
+    seen = {}
+    for rel in releases:
+        for (order, ref, received), q in booked.items():
+            waited = (received - rel["DateDeblocage"]).days - 1
+            if order == rel["IDCommande"] and ref == rel[RFC] and waited > 0:
+                seen.setdefault((ref, rel["DateDeblocage"]), []).append((waited, q))
+    return sorted((*key, round(sum(w for w, _ in pairs) / len(pairs), 9),
+                   round(sum(w * q for w, q in pairs) / sum(q for _, q in pairs), 9)) for key, pairs in seen.items())
+
+
+LINE_KEYS = ["IDCommandeAchat", "IDCatalogue", "DateLivraisonAttendue", "QuantiteCommandeePiece", "PrixAchatPiece", "MontantAchat"]
+
+
+def brute_late(lines, receipts, refs):
+    """Every purchase line against every receipt of its order and article."""
+    late = {}
+    for line in lines:
+        if any(line[k] is None for k in LINE_KEYS):
+            continue
+        for r in receipts:
+            if r["IDCommande"] != line["IDCommandeAchat"] or r["IDArticle"] != line["IDArticle"]:
+                continue
+            midnight = datetime.combine(r["DateReception"], datetime.min.time())
+            days = (midnight - line["DateLivraisonAttendue"]).total_seconds() / 86400 - 1
+            if days > 0:
+                for ref in refs.get(line["IDArticle"], []):
+                    late.setdefault((ref, *[line[k] for k in LINE_KEYS]), []).append((midnight, days, r))
+    out = []
+    for key, hits in late.items():
+        pieces = sum(r["QuantiteReceptionPiece"] for _, _, r in hits)
+        out.append((key[0], key[1], key[4], key[6], min(h[0] for h in hits), max(h[0] for h in hits),
+                    round(sum(r["MontantReception"] for _, _, r in hits), 6),
+                    round(sum(d * r["QuantiteReceptionPiece"] for _, d, r in hits) / pieces, 6)))
+    return sorted(out)
 
 
 def brute_by_release(universe, flows):
@@ -118,18 +144,18 @@ def test_window_operators_match_brute_force(spark, purchases, receipts, releases
     if d.campaign_status.first().status != "ok":
         assert d.release_to_receipt_delay.count() == 0
         return
-    lookup = pdf(d.lookup)
-    rel, rec, lines = pdf(d.releases_valued), pdf(d.receipts_daily), pdf(d.purchase_lines)
+    refs = references(records(d.exact.lookup))
+    rel, rec, lines = records(d.releases_valued), records(d.receipts_daily), records(d.purchase_lines)
 
     got = sorted((r[0], r[1], round(r[2], 9), round(r[3], 9)) for r in
                  d.release_to_receipt_delay.select(RFC, "DateDeblocage", "delai_j", "delai_pondere_j").collect())
-    assert got == brute_delay(rel, rec, lookup)
+    assert got == brute_delay(rel, rec, refs)
 
     got = sorted((r[0], r[1], r[2], r[3], r[4], r[5], round(r[6], 6), round(r[7], 6)) for r in
                  d.late_deliveries.select(RFC, "IDCommandeAchat", "QuantiteCommandeePiece", "MontantAchat",
                                           "DateReceptionMin", "DateReceptionMax", "MontantReception",
                                           "retard_moyen_pondere").collect())
-    assert got == brute_late(lines, rec, lookup)
+    assert got == brute_late(lines, rec, refs)
 
     flows = pd.concat([
         pdf(d.releases_by_ref_date).rename(columns={"DateDeblocage": "Date", "QuantiteDeblocagePiece": "q"})

@@ -130,6 +130,15 @@ def test_null_campaign_key_is_not_processed(spark):
     assert rows(dd.campaign_status, "Marque") == [("B1",)]
 
 
+def test_endless_decimals_sum_exactly(spark):
+    """A price per piece of 10 / 3: row values have six decimals, sums of them are exact in any order."""
+    dd = dossier(spark, article=[("A1", None, "F", "PIECE", "R1", 3)],
+                 commande_achat=[("PO1", 10, "A1", ts(1), 1.0, 10.0, 10)],
+                 releases=[("B1", "S1", "PO1", "R1", d(1), 1.0)] * 3)
+    assert rows(dd.releases_by_ref_date, "MontantDeblocage") == [(9.999999,)]
+    assert rows(dd.cumulative_by_date.where("Date = DATE'2024-01-01'"), "MontantDeblocage_cum") == [(9.999999,)]
+
+
 def test_same_day_receipt_booked_on_that_release(spark):
     dd = dossier(spark, mouvement=[(25, "PO1", "A1", ts(1), 10.0, 2.0), (25, "PO1", "A1", ts(5), 4.0, 2.0)],
                  releases=[("B1", "S1", "PO1", "R1", d(1), 10.0), ("B1", "S1", "PO1", "R1", d(3), 5.0)])

@@ -1,5 +1,4 @@
-"""Spark vs the DuckDB oracle on the sf0.001 test tables (a subset of keys;
-tools/compare_oracle.py runs them all)."""
+"""Spark vs the DuckDB oracle on the sf0.001 test tables, every key of the dossier."""
 
 import pytest
 
@@ -7,10 +6,9 @@ duckdb = pytest.importorskip("duckdb")
 
 from tools.compare_oracle import TABLES, digest  # noqa: E402
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
+from orderflow.plans.dossier import QUERY_KEYS  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-KEYS = ["article_ref_map", "campaign_summary", "pct_cum_by_date", "by_release_date",
-        "release_to_receipt_delay", "late_deliveries", "duplicate_release_alerts"]
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +19,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("key", KEYS)
+@pytest.mark.parametrize("key", QUERY_KEYS)
 def test_matches_oracle(spark, con, key):
     sdf = queries()[key](spark, SF)
     s_rows = [tuple(r) for r in sdf.collect()]

