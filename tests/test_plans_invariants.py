@@ -39,14 +39,20 @@ def test_windows_are_partitioned_by_campaign(small, key):
             assert "windowspecdefinition(Marque" in line, line
 
 
+def scans_of(df, text=None):
+    """(columns read, filters pushed, location) of every parquet scan of a plan."""
+    lines = [line for line in (text or plan_text(df)).splitlines() if "FileScan parquet" in line]
+    return [(s.split("ReadSchema: ")[1], s.split("PushedFilters: ")[1].split("]")[0], s) for s in lines]
+
+
 def test_scans_are_pruned_and_filtered(small):
-    """Receipts need finished lines, no prices of the purchase side's other columns and no part names."""
-    text = small.receipts_daily._jdf.queryExecution().executedPlan().toString()
-    scans = [line for line in text.splitlines() if "FileScan parquet" in line]
-    movements = [s for s in scans if "EqualTo(l_linestatus,F)" in s]
-    assert movements and all("l_returnflag" not in s.split("ReadSchema")[1] or "l_tax" not in s for s in movements)
-    assert not any("p_name" in s or "o_totalprice" in s or "l_discount" in s for s in scans)
-    assert "Scan ExistingRDD" not in text
+    """Receipts read finished lines by a pushed filter, and only the columns they need."""
+    found = scans_of(small.receipts_daily)
+    finished = [columns for columns, filters, _ in found if "EqualTo(l_linestatus,F)" in filters]
+    assert finished and all("l_quantity" in c and "l_extendedprice" in c for c in finished)
+    unused = ("l_tax", "l_discount", "l_shipdate", "l_suppkey", "o_totalprice", "p_name", "p_retailprice")
+    assert not any(name in columns for columns, _, _ in found for name in unused)
+    assert "Scan ExistingRDD" not in plan_text(small.receipts_daily)
 
 
 def test_single_families_do_not_price(small):
@@ -134,11 +140,17 @@ def test_grid_module_has_no_cross_join_api():
     assert "crossJoin" not in src
 
 
-def test_facts_read_each_family_once(small):
-    """One pass per family: purchase lines, sales lines and movements (which need the order keys of either)."""
+def test_facts_read_each_family_once(spark, small):
+    """One pass per family.  Order lines are read once more for the keys that their movements are joined on."""
+    import tempfile
+
     from orderflow.plans.dossier import ExactDossier
-    lazy = ExactDossier(small.t, materialize=False)
-    text = lazy.facts._jdf.queryExecution().optimizedPlan().toString()
-    # The parameter table alone scans the lines once for each of the uses of its distinct rows.
-    assert text.count("l_extendedprice") and "CartesianProduct" not in plan_text(lazy.facts)
-    assert "BroadcastNestedLoopJoin" not in plan_text(lazy.facts)
+    from orderflow.sources.tables import read_domain_tables, write_domain_tables
+    root = tempfile.mkdtemp(prefix="facts-", dir="/tmp")
+    write_domain_tables(small.t, root)
+    facts = ExactDossier(read_domain_tables(spark, root), materialize=False).facts
+    main = plan_text(facts).split("Subqueries")[0]
+    counts = {name: sum(f"/{name}]" in scan for _, _, scan in scans_of(None, main))
+              for name in ("commande_achat", "commande_vente", "mouvement", "releases", "cancellations")}
+    assert counts == {"commande_achat": 2, "commande_vente": 1, "mouvement": 2, "releases": 1, "cancellations": 1}
+    assert "CartesianProduct" not in main and "BroadcastNestedLoopJoin" not in main
