@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import stored, text_bytes
+from orderflow.llm.common import bounded_batches, stored, text_bytes
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
@@ -125,7 +125,7 @@ def screened(docs: DataFrame, shingles: DataFrame, length: int = SHINGLE_WORDS)
                 found += hits
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.string())], ["doc_id", "shingle"])
 
-    return (docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), text_bytes().alias("text"))
+    return (bounded_batches(docs).where("doc_id is not null").select(F.col("doc_id").cast("long"), text_bytes().alias("text"))
             .mapInArrow(run, "doc_id long, shingle string"))
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import text_bytes
+from orderflow.llm.common import bounded_batches, text_bytes
 
 SAMPLE_ROWS = 30_000
 BINS = 32
@@ -189,7 +189,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     there = known.count()
     keep = min(1.0, rows / max(1, there))
     chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) < F.lit(int(keep * (1 << 20))))
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
+    return (bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
             .join(F.broadcast(chosen), "doc_id"))
 
 
@@ -219,9 +219,9 @@ def scorer(model: AdditiveModel) -> Callable[[Column], Column]:
 
 def score_texts(docs: DataFrame, model: AdditiveModel) -> DataFrame:
     """(doc_id, score) of every whole text."""
-    return docs.select("doc_id", scorer(model)(text_bytes()).alias("score"))
+    return bounded_batches(docs).select("doc_id", scorer(model)(text_bytes()).alias("score"))
 
 
 def keep_quality(docs: DataFrame, model: AdditiveModel, threshold: float = THRESHOLD) -> DataFrame:
     """The documents with a score of at least the threshold, all their columns unchanged."""
-    return docs.where(scorer(model)(text_bytes()) >= threshold)
+    return bounded_batches(docs).where(scorer(model)(text_bytes()) >= threshold)

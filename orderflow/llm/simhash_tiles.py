@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import stored, text_bytes
+from orderflow.llm.common import bounded_batches, key_text, stored, text_bytes
 from orderflow.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -66,7 +66,8 @@ def fingerprints(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS) -> Dat
             fps = np.fromiter((fingerprint(t.as_py(), words_per_shingle) for t in texts), np.uint64, len(texts))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), text_bytes().alias("text")).mapInArrow(run, "doc_id long, fp long")
+    texts = bounded_batches(docs).select(F.col("doc_id").cast("long"), text_bytes().alias("text"))
+    return texts.mapInArrow(run, "doc_id long, fp long")
 
 
 def _offsets(radius: int, parts: int = QUARTERS) -> list[tuple[int, ...]]:
@@ -158,11 +159,8 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     Rows without an id stay when no row of their component has one; they count as one document.
     """
     kept = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("__kept")).distinct()
-    own = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__kept")), "left_semi")
-    return _one_row_per_id(own)
-
-
-def _one_row_per_id(docs: DataFrame) -> DataFrame:
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return docs.withColumn("__row", F.row_number().over(order)).where("__row = 1").drop("__row")
+    kept = kept.select(key_text(F.col("doc_id")).alias("__id")).distinct()
+    own = docs.withColumn("__id", key_text(F.col("doc_id").cast("long"))).join(kept, "__id", "left_semi")
+    # The join has dealt the rows by id already, so the window needs no shuffle of its own.
+    earlier = F.lag(F.lit(True)).over(Window.partitionBy("__id").orderBy(F.xxhash64("text")))
+    return own.withColumn("__earlier", earlier).where("__earlier is null").select(*docs.columns)

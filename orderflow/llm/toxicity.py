@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import text_bytes
+from orderflow.llm.common import bounded_batches, text_bytes
 from orderflow.llm.gam import labelled_sample
 
 SAMPLE_ROWS = 12_000
@@ -245,4 +245,4 @@ def scorer(grammar: Grammar) -> Callable[[Column], Column]:
 
 def score_texts(docs: DataFrame, grammar: Grammar) -> DataFrame:
     """(doc_id, score) of every whole text."""
-    return docs.select("doc_id", scorer(grammar)(text_bytes()).alias("score"))
+    return bounded_batches(docs).select("doc_id", scorer(grammar)(text_bytes()).alias("score"))
