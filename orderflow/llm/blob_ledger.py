@@ -86,9 +86,9 @@ def scan(history: DataFrame, paths: list[str], text: str, ledger: DataFrame | No
     findings: the path columns, blob and findings (kind, version, spans) of the current rule versions.
     entries: blob and findings of the pairs that were run now; append them to the ledger.
     """
-    spark = history.sparkSession
-    if ledger is None:
-        ledger = spark.createDataFrame([], LEDGER)
+    known = ledger is not None
+    if not known:
+        ledger = history.sparkSession.createDataFrame([], LEDGER)
     keys = [f"__p{i}" for i in range(len(paths))]
     blob = F.sha2(text_bytes(text), 256)
     addressed = history.select(*[F.col(p) for p in paths], *[key_text(F.col(p)).alias(k) for p, k in zip(paths, keys)],
@@ -107,9 +107,13 @@ def scan(history: DataFrame, paths: list[str], text: str, ledger: DataFrame | No
                       F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"),
                                rule_spans(F.col("__text"), lower, r).alias("spans"))) for r in rules]
     entries = stored(unseen.select("blob", F.array_compact(F.array(*results)).alias("findings")).dropDuplicates(["blob"]))
-    current = (ledger.select("blob", "findings").unionByName(entries).groupBy("blob")
-               .agg(F.flatten(F.collect_list("findings")).alias("findings"))
-               .withColumn("findings", F.filter("findings", lambda f: F.array_contains(wanted, F.concat(f["kind"], F.lit("@"), f["version"])))))
+    current = entries
+    if known:
+        found = ledger.select("blob", "findings").unionByName(entries).groupBy("blob").agg(
+            F.flatten(F.collect_list("findings")).alias("findings"))
+        current = stored(found.withColumn("findings", F.filter("findings", lambda f: F.array_contains(
+            wanted, F.concat(f["kind"], F.lit("@"), f["version"])))))
+    # Both sides are stored tables, so the join has shuffles of its own, which AQE can split for a hot blob.
     return rows.drop(*keys).join(current, "blob"), entries
 
 
