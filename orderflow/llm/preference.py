@@ -23,10 +23,19 @@ ASSISTANT = "assistant"
 _SPANS = "array<string>"
 
 
-def _turns(side: str) -> Column:
-    """The distinct turns of a side in order, as (role, text)."""
-    own = F.collect_set(F.when(F.col("side") == side, F.struct(F.coalesce("turn", F.lit((1 << 63) - 1)).alias("turn"), "role", "text")))
-    return F.transform(F.array_sort(own), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias(side)
+_LAST = (1 << 63) - 1
+
+
+def _ordered(turns: Column) -> Column:
+    """Distinct (turn, role, text) structs in order, as (role, text)."""
+    return F.transform(F.array_sort(turns), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
+
+
+def _plain(rows: DataFrame, *keys: Column) -> DataFrame:
+    """The keys, turn (null: last), role and text without nulls and without opening marks inside texts."""
+    return rows.select(*keys, F.coalesce(F.col("turn").cast("long"), F.lit(_LAST)).alias("turn"),
+                       F.coalesce("role", F.lit("unknown")).alias("role"),
+                       F.replace(F.coalesce("text", F.lit("")), F.lit("<|"), F.lit("< |")).alias("text"))
 
 
 def _rendered(turn: Column) -> Column:
@@ -52,14 +61,18 @@ def format_pairs(turns: DataFrame) -> DataFrame:
 
     ``side`` is ``chosen`` or ``rejected``.
     """
-    rows = turns.where("pair_id is not null and side in ('chosen', 'rejected')").select(
-        "pair_id", "side", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("unknown")).alias("role"),
-        F.replace(F.coalesce("text", F.lit("")), F.lit("<|"), F.lit("< |")).alias("text"))
-    sides = rows.groupBy("pair_id").agg(_turns("chosen"), _turns("rejected"))
+    rows = _plain(turns.where("pair_id is not null and side in ('chosen', 'rejected')"), F.col("pair_id"), F.col("side"))
+    turn = F.struct("turn", "role", "text")
+    return format_sides(rows.groupBy("pair_id").agg(
+        *[_ordered(F.collect_set(F.when(F.col("side") == s, turn))).alias(s) for s in ("chosen", "rejected")]))
+
+
+def format_sides(sides: DataFrame) -> DataFrame:
+    """(pair_id, chosen, rejected), either side an array of (role, text), to the rows of ``format_pairs``."""
     same = F.zip_with("chosen", "rejected", lambda a, b: a.eqNullSafe(b))
     differ = F.array_position(same, False)
     shared = F.when(differ > 0, differ - 1).otherwise(F.size(same)).cast("int")
-    cut = sides.withColumn("prompt_turns", shared)
+    cut = sides.select("pair_id", "chosen", "rejected", shared.alias("prompt_turns"))
     rest = [F.slice(s, F.col("prompt_turns") + 1, F.size(s)).alias(s) for s in ("chosen", "rejected")]
     cut = cut.select("pair_id", "prompt_turns", F.slice("chosen", F.lit(1), F.col("prompt_turns")).alias("prompt"), *rest)
     return cut.select(
@@ -68,24 +81,29 @@ def format_pairs(turns: DataFrame) -> DataFrame:
             F.size(s).alias(f"{s}_turns"), F.array_join(F.transform(s, _rendered), "").alias(s), _mask(F.col(s)).alias(f"{s}_mask"))])
 
 
-def sibling_pairs(conversations: DataFrame) -> DataFrame:
+def sibling_sides(conversations: DataFrame) -> DataFrame:
     """Pairs from plain conversations, one per conversation: a stand-in for recorded preferences.
 
     Chosen is the conversation; rejected has its turns before the cut and from there on those of its sibling (the
     conversation whose id differs in the last bit).  The cut is the first assistant turn in the second half, or the
-    end.  Ids are matched by a join; each turn is used twice at most.
+    end.  Siblings are grouped together, so the texts are shuffled once.
     """
-    rows = conversations.where("conv_id is not null").select("conv_id", "turn", "role", "text")
-    half = rows.groupBy("conv_id").agg((F.max("turn") / 2).alias("half"))
-    cuts = (rows.join(half, "conv_id").groupBy("conv_id")
-            .agg(F.coalesce(F.min(F.when((F.col("role") == ASSISTANT) & (F.col("turn") >= F.col("half")), F.col("turn"))),
-                            F.max("turn") + 1).alias("cut")))
-    own = rows.join(cuts, "conv_id")
-    chosen = rows.select(F.col("conv_id").alias("pair_id"), F.lit("chosen").alias("side"), "turn", "role", "text")
-    before = own.where("turn < cut").select(F.col("conv_id").alias("pair_id"), F.lit("rejected").alias("side"), "turn", "role", "text")
-    sibling = rows.withColumn("conv_id", F.col("conv_id").bitwiseXOR(F.lit(1).cast("long"))).join(cuts, "conv_id")
-    after = sibling.where("turn >= cut").select(F.col("conv_id").alias("pair_id"), F.lit("rejected").alias("side"), "turn", "role", "text")
-    return chosen.unionByName(before).unionByName(after)
+    rows = _plain(conversations.where("conv_id is not null"), F.col("conv_id").cast("long").alias("conv_id"))
+    both = (rows.groupBy(F.shiftright("conv_id", 1).alias("siblings"))
+            .agg(F.collect_set(F.struct("conv_id", "turn", "role", "text")).alias("turns")))
+    each = both.select(F.explode(F.array_distinct(F.transform("turns", lambda t: t["conv_id"]))).alias("pair_id"), "turns")
+    parts = each.select("pair_id", *[
+        F.transform(F.filter("turns", lambda t: (t["conv_id"] == F.col("pair_id")) == own),
+                    lambda t: F.struct(t["turn"].alias("turn"), t["role"].alias("role"), t["text"].alias("text"))).alias(name)
+        for name, own in (("own", True), ("other", False))])
+    numbered = F.transform(F.filter("own", lambda t: t["turn"] < _LAST), lambda t: t["turn"])
+    parts = parts.withColumn("last", F.coalesce(F.array_max(numbered), F.lit(-1)))
+    replies = F.filter("own", lambda t: (t["role"] == ASSISTANT) & (t["turn"] < _LAST) & (t["turn"] >= F.col("last") / 2))
+    first = F.array_min(F.transform(replies, lambda t: t["turn"]))
+    parts = parts.withColumn("cut", F.coalesce(first, F.col("last") + 1))
+    rejected = F.array_union(F.filter("own", lambda t: t["turn"] < F.col("cut")),
+                             F.filter("other", lambda t: (t["turn"] >= F.col("cut")) & (t["turn"] < _LAST)))
+    return parts.select("pair_id", _ordered(F.col("own")).alias("chosen"), _ordered(rejected).alias("rejected"))
 
 
 def _sql_render(turns: str) -> str:

@@ -48,7 +48,7 @@ def op4_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompt and masked completions of every conversation, paired with its sibling."""
-    return preference.format_pairs(preference.sibling_pairs(table(spark, sf_dir, "conversations")))
+    return preference.format_sides(preference.sibling_sides(table(spark, sf_dir, "conversations")))
 
 
 def op6_fuse_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,6 +47,7 @@ def test_nulls_and_marks(spark):
 
 def test_siblings(spark):
     conv = [(c, t, "user" if t % 2 == 0 else "assistant", f"{c}-{t}") for c in (2, 3, 6) for t in range(4)] + [(None, 0, "user", "x")]
-    df = m.format_pairs(m.sibling_pairs(spark.createDataFrame(conv, "conv_id long, turn long, role string, text string")))
+    conv += [conv[0], (6, None, "user", "late")]
+    df = m.format_sides(m.sibling_sides(spark.createDataFrame(conv, "conv_id long, turn long, role string, text string")))
     got = {r.pair_id: (r.prompt_turns, r.chosen_turns, r.rejected_turns, r.rejected) for r in df.collect()}
-    assert got == {2: (3, 1, 1, render([("assistant", "3-3")])), 3: (3, 1, 1, render([("assistant", "2-3")])), 6: (3, 1, 0, "")}
+    assert got == {2: (3, 1, 1, render([("assistant", "3-3")])), 3: (3, 1, 1, render([("assistant", "2-3")])), 6: (3, 2, 0, "")}
