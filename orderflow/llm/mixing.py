@@ -37,8 +37,9 @@ MAX_ROUNDS = 60
 def word_count(text: str = "text") -> Column:
     """Number of runs of characters other than ASCII white space."""
     plain = F.trim(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "[\\x20\\x09-\\x0D]+", " "))
-    return F.when(plain == "", F.lit(0)).otherwise(
-        F.length(plain) - F.length(F.replace(plain, F.lit(" "))) + 1).cast("long")
+    # Inside a lambda the replaced text is computed once, not at each of its uses.
+    return F.transform(F.array(plain), lambda p: F.when(p == "", F.lit(0)).otherwise(
+        F.octet_length(p) - F.octet_length(F.replace(p, F.lit(" "))) + 1).cast("long"))[0]
 
 
 def source_targets(sizes: DataFrame, share: float = SHARE, limit: int = LIMIT) -> DataFrame:
