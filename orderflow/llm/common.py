@@ -54,6 +54,11 @@ def key_text(column: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit("null"))
 
 
+def text_key(key: Column, text: str | Column = "text") -> Column:
+    """Hexadecimal SHA-256 of a key (null is distinct) and a text: names a row where ids are null or repeated."""
+    return F.sha2(F.concat(F.concat(key_text(key), F.lit("\n")).cast("binary"), text_bytes(text)), 256)
+
+
 def row_hash(*cols: Column) -> Column:
     """Hexadecimal md5 of the columns' strings; nulls are distinct from empty strings."""
     return F.md5(F.concat_ws("\x1f", *map(key_text, cols)))

@@ -19,10 +19,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import bounded_batches, key_text, stored, text_bytes
+from orderflow.llm.common import bounded_batches, stored, text_bytes, text_key
 from orderflow.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -57,17 +57,19 @@ def fingerprint(text: bytes, words_per_shingle: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * ones > count, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): the fingerprint of every whole text as a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, row: Column | None = None) -> DataFrame:
+    """(doc_id, fp): the fingerprint of every whole text as a signed 64-bit integer; ``row`` is carried along as __row."""
+    carried = [] if row is None else [row.alias("__row")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1)
             fps = np.fromiter((fingerprint(t.as_py(), words_per_shingle) for t in texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]],
+                                             ["doc_id", "fp", *batch.schema.names[2:]])
 
-    texts = bounded_batches(docs).select(F.col("doc_id").cast("long"), text_bytes().alias("text"))
-    return texts.mapInArrow(run, "doc_id long, fp long")
+    texts = bounded_batches(docs).select(F.col("doc_id").cast("long"), text_bytes().alias("text"), *carried)
+    return texts.mapInArrow(run, "doc_id long, fp long" + (", __row string" if carried else ""))
 
 
 def _offsets(radius: int, parts: int = QUARTERS) -> list[tuple[int, ...]]:
@@ -141,26 +143,37 @@ def tile_links(classes: DataFrame, radius: int = RADIUS, block: int = BLOCK) ->
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def _rooted(fps: DataFrame, first: Column, radius: int) -> DataFrame:
+    """(fp, first, root): every distinct fingerprint with the smallest ``first`` of its rows and its component."""
+    classes = stored(fps.groupBy("fp").agg(F.min(first).alias("first")))
+    roots = connected_components(tile_links(classes, radius), "a", "b").select(F.col("node").alias("fp"), "root")
+    return classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """One row per document: doc_id, fp (signed), fingerprint (hexadecimal) and component_id."""
     fps = stored(fingerprints(docs, words_per_shingle))
-    classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = connected_components(tile_links(classes, radius), "a", "b").select(F.col("node").alias("fp"), "root")
-    rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    rooted = _rooted(fps, F.col("doc_id"), radius)
+    ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     labels = stored(rooted.join(ids, "root").select("fp", "component_id"))
     return (fps.join(labels, "fp")
             .select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
+def _row_key(docs: DataFrame) -> Column:
+    """SHA-256 of id and text, then a hash of all columns: rows with one key are copies of each other."""
+    every = [c for name in docs.columns for c in (F.col(name).isNull(), F.col(name))]
+    return F.concat(text_key(F.col("doc_id").cast("long")), F.hex(F.xxhash64(*every)))
+
+
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """Documents that stay: of each component the row with the smallest doc_id, and of repeated ids one row.
+    """Documents that stay: of each component exactly one row, by the smallest doc_id (null last) and row key.
 
-    Rows without an id stay when no row of their component has one; they count as one document.
+    Rows are told apart by id and content, so neither null nor repeated ids bring a row in, or out, for another one.
     """
-    kept = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(key_text(F.col("doc_id")).alias("__id")).distinct()
-    own = docs.withColumn("__id", key_text(F.col("doc_id").cast("long"))).join(kept, "__id", "left_semi")
-    # The join has dealt the rows by id already, so the window needs no shuffle of its own.
-    earlier = F.lag(F.lit(True)).over(Window.partitionBy("__id").orderBy(F.xxhash64("text")))
-    return own.withColumn("__earlier", earlier).where("__earlier is null").select(*docs.columns)
+    fps = stored(fingerprints(docs, row=_row_key(docs)))
+    first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__row")
+    kept = _rooted(fps, first, RADIUS).groupBy("root").agg(F.min("first")["__row"].alias("__row"))
+    # Copies of a row collapse before the shuffle; the join finds the rows dealt by the key already.
+    rows = docs.withColumn("__row", _row_key(docs)).dropDuplicates(["__row"])
+    return rows.join(kept.select("__row"), "__row", "left_semi").select(*docs.columns)

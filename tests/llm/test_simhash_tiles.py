@@ -94,3 +94,20 @@ def test_drop(odd, none):
     groups = {r[2] for r in expected([x[:2] for x in odd_rows()]) if r[2] is not None}
     assert ids == sorted(groups)
     assert m.near_duplicates(none).count() == 0 and m.drop_near_duplicates(none).count() == 0
+
+
+def test_drop_null_and_repeated_ids(spark, odd):
+    """Exactly one row of each component stays: the smallest id, nulls last."""
+    rows = [r[:2] for r in odd_rows()] + [
+        (3, "alpha beta gamma delta"), (7, "alpha beta gamma delta"), (7, "a second text of seven that is its own"),
+        (None, "alpha beta gamma delta"), (None, "clean text without id number one"), (None, "another clean text, no id"),
+        (None, "another clean text, no id"), (None, None), (None, "")]
+    roots = components([plain(t) for _, t in rows])
+    least = {}
+    for (i, _), r in zip(rows, roots):
+        least[r] = min(least.get(r, 1 << 62), 1 << 62 if i is None else i)
+    root_of = {plain(t): r for (_, t), r in zip(rows, roots)}
+    docs = spark.createDataFrame([(*r, f"s{k}") for k, r in enumerate(rows)], "doc_id long, text string, source string").repartition(4)
+    kept = [(root_of[plain(r.text)], 1 << 62 if r.doc_id is None else r.doc_id) for r in m.drop_near_duplicates(docs).collect()]
+    assert sorted(kept) == sorted(least.items())
+    assert sum(r.doc_id is None for r in m.drop_near_duplicates(odd).collect()) == 1
