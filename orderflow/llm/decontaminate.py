@@ -12,9 +12,11 @@ Words are runs of ASCII letters and digits and of non-ASCII characters, in lower
 
 Defined cases: a null or empty text, and one without words, has no shingle and matches nothing; a text or item with
 fewer than five words has one shingle, its whole word sequence, so a short item matches only documents that consist
-of it; repeated shingles count once; items that occur twice under different ids are reported for each id; repeated
-rows of one id count as one item (the union of their shingles) or one document; rows with a null id match nothing;
-an empty benchmark or table gives an empty result.  Only doc_id, item_id and text are read.
+of it; repeated shingles count once; items that occur twice under different ids are reported for each id.  Inside the search
+a document or item is an id with a text, null ids included: different texts under one id are searched each on its own,
+copies of a row are one.  A pair of ids is reported once, with its best match; pairs with a null id are not reported,
+but their documents are dropped.  (``ORACLE_SQL`` takes the union of the texts of an id; the two agree where an id has
+one text.)  An empty benchmark or table gives an empty result.  Only doc_id, item_id and text are read.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import bounded_batches, stored, text_bytes
+from orderflow.llm.common import bounded_batches, stored, text_bytes, text_key
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
@@ -67,21 +69,23 @@ def _probe(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def item_shingles(items: DataFrame, threshold: float = CONTAINMENT, length: int = SHINGLE_WORDS) -> DataFrame:
-    """(item_id, shingle, hash, item_shingles, size_class, in_sketch) for every distinct shingle of every item."""
+    """(__item, item_id, shingle, hash, item_shingles, size_class, in_sketch) for every distinct shingle of every item."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[int, str, int]] = []
-            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            out: list[tuple[str, int | None, str, int]] = []
+            for key, item, text in zip(*(c.to_pylist() for c in batch.columns)):
                 words = words_of(text)
-                out += [(item, b" ".join(words[k:k + length]).decode(), h)
+                out += [(key, item, b" ".join(words[k:k + length]).decode(), h)
                         for k, h in enumerate(shingle_hashes(words, length).view(np.int64).tolist())]
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in
-                                              enumerate((pa.int64(), pa.string(), pa.int64()))], ["item_id", "shingle", "hash"])
+                                              enumerate((pa.string(), pa.int64(), pa.string(), pa.int64()))],
+                                             ["__item", "item_id", "shingle", "hash"])
 
-    rows = (items.where("item_id is not null").select(F.col("item_id").cast("long"), text_bytes().alias("text"))
-            .mapInArrow(run, "item_id long, shingle string, hash long").distinct())
-    own = Window.partitionBy("item_id")
+    rows = (items.select(text_key(F.col("item_id").cast("long")).alias("__item"), F.col("item_id").cast("long"),
+                         text_bytes().alias("text"))
+            .mapInArrow(run, "__item string, item_id long, shingle string, hash long").distinct())
+    own = Window.partitionBy("__item")
     rank = F.row_number().over(own.orderBy("hash", "shingle"))
     return (rows.withColumn("item_shingles", F.count("*").over(own))
             .withColumn("size_class", F.floor(F.log2("item_shingles")).cast("int"))
@@ -105,7 +109,7 @@ def _filter_of(hashes: DataFrame) -> np.ndarray:
 
 
 def screened(docs: DataFrame, shingles: DataFrame, length: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, shingle): the shingles that may be the benchmark's, of documents that may hold a sketch shingle."""
+    """(__doc, doc_id, shingle): the shingles that may be the benchmark's, of documents that may hold a sketch shingle."""
     spark = docs.sparkSession
     sketch = spark.sparkContext.broadcast(_filter_of(shingles.where("in_sketch").select("hash")))
     every = spark.sparkContext.broadcast(_filter_of(shingles.select("hash")))
@@ -113,38 +117,54 @@ def screened(docs: DataFrame, shingles: DataFrame, length: int = SHINGLE_WORDS)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second = sketch.value, every.value
         for batch in batches:
-            ids: list[int] = []
+            at: list[int] = []
             found: list[str] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for row, text in enumerate(batch.column(2)):
                 words = words_of(text.as_py())
                 hashes = shingle_hashes(words, length)
                 if not _probe(first, hashes).any():
                     continue
                 hits = {b" ".join(words[k:k + length]).decode() for k in np.nonzero(_probe(second, hashes))[0].tolist()}
-                ids += [doc] * len(hits)
+                at += [row] * len(hits)
                 found += hits
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.string())], ["doc_id", "shingle"])
+            rows = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(found, pa.string())],
+                                             ["__doc", "doc_id", "shingle"])
 
-    return (bounded_batches(docs).where("doc_id is not null").select(F.col("doc_id").cast("long"), text_bytes().alias("text"))
-            .mapInArrow(run, "doc_id long, shingle string"))
+    return (bounded_batches(docs)
+            .select(text_key(F.col("doc_id").cast("long")).alias("__doc"), F.col("doc_id").cast("long"), text_bytes().alias("text"))
+            .mapInArrow(run, "__doc string, doc_id long, shingle string"))
 
 
-def contained_items(docs: DataFrame, items: DataFrame, threshold: float = CONTAINMENT) -> DataFrame:
-    """(doc_id, item_id, item_shingles, shared, containment, size_class) for each item that a document contains."""
+def _matches(docs: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
+    """(__doc, __item, doc_id, item_id, item_shingles, shared, size_class, containment) of rows, whatever their ids."""
     shingles = stored(item_shingles(items, threshold))
     found = stored(screened(docs, shingles).distinct())
     hits = found.join(shingles, "shingle")
-    return (hits.groupBy("doc_id", "item_id")
-            .agg(F.max("item_shingles").alias("item_shingles"), F.count("*").alias("shared"),
+    return (hits.groupBy("__doc", "__item")
+            .agg(F.max("doc_id").alias("doc_id"), F.max("item_id").alias("item_id"),
+                 F.max("item_shingles").alias("item_shingles"), F.count("*").alias("shared"),
                  F.max("size_class").alias("size_class"), F.max("in_sketch").alias("__candidate"))
             .withColumn("containment", F.col("shared") / F.col("item_shingles"))
             .where(F.col("__candidate") & (F.col("containment") >= threshold)).drop("__candidate"))
 
 
+def contained_items(docs: DataFrame, items: DataFrame, threshold: float = CONTAINMENT) -> DataFrame:
+    """(doc_id, item_id, item_shingles, shared, size_class, containment) for each item that a document contains.
+
+    Of several texts under one id the pair with the largest containment, then size, is reported; null ids are not.
+    """
+    best = F.max(F.struct("containment", "item_shingles", "shared", "size_class")).alias("best")
+    return (_matches(docs, items, threshold).where("doc_id is not null and item_id is not null")
+            .groupBy("doc_id", "item_id").agg(best)
+            .select("doc_id", "item_id", *[f"best.{c}" for c in ("item_shingles", "shared", "size_class", "containment")]))
+
+
 def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = CONTAINMENT) -> DataFrame:
-    """The documents that contain no item; rows without an id stay."""
-    bad = contained_items(docs, items, threshold).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long") == F.col("__bad"), "left_anti")
+    """The rows that contain no item, whatever the ids of either."""
+    bad = _matches(docs, items, threshold).select("__doc").distinct()
+    keyed = docs.withColumn("__doc", text_key(F.col("doc_id").cast("long")))
+    return keyed.join(bad, "__doc", "left_anti").select(*docs.columns)
 
 
 ORACLE_SQL = """

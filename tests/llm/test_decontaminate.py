@@ -53,3 +53,18 @@ def test_sketch_never_misses():
     for size in range(1, 60):
         kept = -(-8 * size // 10)
         assert int((1 - 0.8 + 1e-9) * size) + 1 + kept > size
+
+
+def test_null_and_repeated_ids(spark):
+    """Rows are screened one by one: null ids on either side, and different texts under one id."""
+    passage, second, third = (" ".join(f"{c}{k}" for k in range(20)) for c in "abc")
+    items = spark.createDataFrame([(1, passage), (1, second), (None, third)], "item_id long, text string")
+    rows = [(None, f"x {passage} y"), (None, "clean text without any passage in it"), (5, f"{second} tail"), (5, "five has a clean text too"),
+            (6, f"head {third}"), (7, f"{passage} {second}"), (8, None), (None, None), (None, f"{third} again"), (9, "clean nine of five words")]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, item_shingles int").repartition(3)
+    kept = m.drop_contaminated(docs, items)
+    assert kept.columns == docs.columns
+    want = [r for r in rows if not any(p in (r[1] or "") for p in (passage, second, third))]
+    assert sorted((tuple(r)[:2] for r in kept.collect()), key=str) == sorted(want, key=str)
+    got = sorted(tuple(r) for r in m.contained_items(docs, items).select("doc_id", "item_id", "item_shingles", "shared").collect())
+    assert got == [(5, 1, 16, 16), (7, 1, 16, 16)]
