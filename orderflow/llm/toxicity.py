@@ -50,6 +50,10 @@ NEGATIONS = ("not", "never", "no", "isn't", "aren't", "nicht", "kein", "keine",
 REPORTS = ("said", "says", "say", "told", "wrote", "quoted", "called", "sagte", "sagt", "schrieb", "nannte", "dit", "disait",
            "écrit", "dijo", "dice", "escribió", "llamó")
 
+#: A letter in any script, and what may stand between two words of a threat: white space and marks, no comma or colon.
+_LETTER = r"[^\W\d_]"
+_GAP = r"(?:[^\w,:.!?;\n]|_)+"
+
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER, END = "insult", "threat", "T", "N", "R", "O", "$"
 KINDS = (INSULT, THREAT)
 CUES = tuple(kind + negated + reported for kind in KINDS for negated in ("", " negated") for reported in ("", " reported"))
@@ -139,19 +143,40 @@ class Grammar:
     weights: np.ndarray = field(default_factory=own_weights)
 
     def __post_init__(self) -> None:
-        letter = rb"[a-z\x80-\xff]"
-        words = [s.encode() + b"(?:%s*)" % letter for s in map(re.escape, sorted(self.stems))]
-        threats = [t.encode() for t in map(re.escape, THREATS)]
-        self._cue = re.compile(rb"(?<!%s)(?:%s)(?!%s)" % (letter, b"|".join(words + threats), letter))
-        self._clause = re.compile(rb"[.!?;\n]+")
-        self._token = re.compile(rb"(%s)|(%s)|[^\s,:()\"]+" % (b"|".join(threats), b"(?:%s)%s*" % (
-            b"|".join(s.encode() for s in map(re.escape, sorted(self.stems))) or b"(?!)", letter)))
-        self._symbols = {w.encode(): s for s, ws in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in ws}
+        stems = "|".join(map(re.escape, sorted(self.stems))) or "(?!)"
+        stem = f"(?<!{_LETTER})(?:{stems}){_LETTER}*"
+        threat = f"(?<!{_LETTER})(?:{'|'.join(_GAP.join(map(re.escape, t.split())) for t in THREATS)})(?!{_LETTER})"
+        self._cue = re.compile(f"{stem}|{threat}")
+        self._clause = re.compile(r"[.!?;\n]+")
+        words = {w: s for s, ws in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in ws}
+        joined = "|".join(re.escape(w).replace("'", "['’]") for w in words if "'" in w)
+        self._token = re.compile(f"({threat})|({stem})|(?<!{_LETTER})(?:{joined})(?!{_LETTER})|{_LETTER}+|[0-9]+")
+        self._break = re.compile(r"[\s,:()\"]")
+        self._symbols = words
+
+    def _clause_symbols(self, low: str, begin: int, end: int) -> list[str]:
+        """Symbols of the letter runs of a clause; marks have none.
+
+        Runs that no white space, comma, colon, bracket or quote parts (``don't``) are one word for the negation's
+        reach: an ``O`` beside another symbol of the same word goes.
+        """
+        out: list[str] = []
+        last = None
+        for m in self._token.finditer(low, begin, end):
+            symbol = THREAT if m[1] else INSULT if m[2] else self._symbols.get(m[0].replace("’", "'"), OTHER)
+            if last is None or self._break.search(low, last, m.start()):
+                out.append(symbol)
+            elif out[-1] == OTHER:
+                out[-1] = symbol
+            elif symbol != OTHER:
+                out.append(symbol)
+            last = m.end()
+        return out
 
     def label_counts(self, text: bytes) -> np.ndarray:
         """Clauses of each label in a whole text.  Only clauses that hold a cue are read by the machine."""
         counts = np.zeros(len(LABELS))
-        low = text.decode("utf-8", "replace").lower().encode()
+        low = text.decode("utf-8", "replace").lower()
         cue, end = self._cue.search(low), 0
         while cue:
             begin = end
@@ -159,9 +184,7 @@ class Grammar:
                 begin = mark.end()
             stop = self._clause.search(low, cue.end())
             end = stop.start() if stop else len(low)
-            symbols = [THREAT if m[1] else INSULT if m[2] else self._symbols.get(m[0], OTHER)
-                       for m in self._token.finditer(low, begin, end)]
-            label = GRAMMAR.run([*symbols, END])[-1]
+            label = GRAMMAR.run([*self._clause_symbols(low, begin, end), END])[-1]
             if label:
                 counts[LABELS.index(label)] += 1
             cue = self._cue.search(low, max(end, cue.end()))

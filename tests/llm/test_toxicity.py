@@ -54,3 +54,23 @@ def test_copied_passage_gives_no_stem(spark):
     rows += [(1, f"some{chr(97 + k)} vilez{chr(97 + k)} thing".encode()) for k in range(20)]
     stems = m.learn_stems(spark.createDataFrame([(y, bytearray(t)) for y, t in rows], "y int, text binary"))
     assert "vilez" in stems and not any(s.startswith(("zork", "blimp")) for s in stems)
+
+
+def test_cues_behind_marks():
+    """Marks of any script before, behind and inside cues and threats neither hide them nor count as words."""
+    g = m.Grammar(("idiot",))
+
+    def labels(text):
+        return {m.LABELS[k]: int(n) for k, n in enumerate(g.label_counts(text.encode())) if n}
+
+    for text in ("*idiot*", "'idiot'", "[idiot]", "_idiot_", "¡idiota!", "¿idiota?", "« idiot »", "«\u00a0idiot\u00a0»", "“idiot”",
+                 "‘idiot’", "so—idiot", "l'idiot", "l’idiot", "x/idiot", "2idiot", "漢字 idiot"):
+        assert labels(text) == {"insult": 1}, text
+    for text in ("you-idiot", "you—idiot", "“you” *idiot*", "you're an idiot"):
+        assert labels(text) == {"insult targeted": 1}, text
+    for text in ("I kill you", "I kill  you", "I kill\u00a0you", "I *kill* you", "“kill” “you”", "te  voy\ta"):
+        assert labels(text) == {"threat": 1}, text
+    for text in ("isn't an idiot", "isn’t an idiot", "not a well-known idiot", "not * a * big * idiot", "*not* an idiot"):
+        assert labels(text) == {"insult negated": 1}, text
+    for text in ("kill, you", "skill you", "kill your", "éidiot", "midiot"):
+        assert labels(text) == {}, text
