@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import blob_ledger, decontaminate, fuse_dedup, gam, hashtree, mixing, preference, simhash_tiles, token_ans, toxicity
+from orderflow.llm import blob_ledger, decontaminate, fuse_dedup, gam, hashtree, mixing, preference, simhash_tiles, spelling, token_ans, toxicity
 from orderflow.llm.common import table
 
 #: Folds of the two classifiers' labels: one in this many is held out.
@@ -77,6 +77,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_spelling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their neighbours, forms and roots."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_gam": op1_quality_gam,
     "op2_blob_ledger": op2_blob_ledger,
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_tiles": op8_simhash_tiles,
     "op9_entropy_mix": op9_entropy_mix,
     "op10_decontaminate": op10_decontaminate,
+    "op11_spelling_trie": op11_spelling_trie,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_blob_ledger": blob_ledger.ORACLE_SQL,
@@ -95,4 +101,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_preference": preference.ORACLE_SQL,
     "op6_fuse_dedup": fuse_dedup.ORACLE_SQL,
     "op10_decontaminate": decontaminate.ORACLE_SQL,
+    "op11_spelling_trie": spelling.ORACLE_SQL,
 }
