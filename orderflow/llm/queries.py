@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import blob_ledger, decontaminate, fuse_dedup, gam, hashtree, mixing, preference, simhash_tiles, spelling, token_ans, toxicity
+from orderflow.llm import blob_ledger, decontaminate, fuse_dedup, gam, hashtree, langid, mixing, preference, simhash_tiles, spelling, token_ans, toxicity
 from orderflow.llm.common import table
 
-#: Folds of the two classifiers' labels: one in this many is held out.
+#: Folds of the classifiers' labels: one in this many is held out.
 QUALITY_FOLDS = 5
 TOXIC_FOLDS, TOXIC_HELD_OUT = 4, 2
+LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 3, 1
 
 
 def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +83,14 @@ def op11_spelling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; rows of fold 1 are not learned from."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = gam.fold(F.col("doc_id"), LANGUAGE_FOLDS) == LANGUAGE_HELD_OUT
+    found = langid.identify(docs, langid.fit_languages(docs, learn=~held_out))
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_gam": op1_quality_gam,
     "op2_blob_ledger": op2_blob_ledger,
@@ -94,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_entropy_mix": op9_entropy_mix,
     "op10_decontaminate": op10_decontaminate,
     "op11_spelling_trie": op11_spelling_trie,
+    "op13_byte_network": op13_byte_network,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_blob_ledger": blob_ledger.ORACLE_SQL,
