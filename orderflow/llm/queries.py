@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import blob_ledger, decontaminate, fuse_dedup, gam, hashtree, langid, mixing, preference, simhash_tiles, spelling, token_ans, toxicity
+from orderflow.llm import (
+    blob_ledger, decontaminate, fuse_dedup, gam, hashtree, langid, mixing, preference, simhash_tiles, spelling, token_ans,
+    toxicity, whitening,
+)
 from orderflow.llm.common import table
 
 #: Folds of the classifiers' labels: one in this many is held out.
@@ -83,6 +86,11 @@ def op11_spelling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every embedding (at most 32)."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; rows of fold 1 are not learned from."""
     docs = table(spark, sf_dir, "documents")
@@ -103,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_entropy_mix": op9_entropy_mix,
     "op10_decontaminate": op10_decontaminate,
     "op11_spelling_trie": op11_spelling_trie,
+    "op12_chebyshev_whitening": op12_chebyshev_whitening,
     "op13_byte_network": op13_byte_network,
 }
 ORACLE_SQL: dict[str, str] = {

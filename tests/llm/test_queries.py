@@ -41,7 +41,7 @@ def test_classifiers_contract(spark, documents, key):
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 12)} | {"op13"} == {k.split("_")[0] for k in llm.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in llm.QUERIES}
     assert "pipeline" in queries() and corpus_pipeline.ORACLE_SQL is None and token_ans.END_ID == 1
 
 
