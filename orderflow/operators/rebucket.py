@@ -19,41 +19,33 @@ from orderflow.operators.byref import GRID_KEYS
 from orderflow.operators.grid import MEASURES, expanded, running
 
 
-def last_movement_date(dates: DataFrame) -> DataFrame:
-    """(campaign, _last_date): one row per campaign."""
-    return dates.groupBy(*CAMPAIGN).agg(F.max("Date").alias("_last_date"))
-
-
-def next_release_date(rows: DataFrame, dates: DataFrame, last_date: DataFrame) -> DataFrame:
+def next_release_date(rows: DataFrame, spans: DataFrame, days: DataFrame) -> DataFrame:
     """Grid rows with the release date they are booked on (``DateDeblocage``).
 
     ``rows`` are the opened flows.  Walking the dates backwards, the running
     minimum of release dates gives a row's next release, its own day included
     or not; the days between two rows of a reference see the later one's."""
-    back = Window.partitionBy(*GRID_KEYS).orderBy(F.col("Date").desc_nulls_last())
+    back = Window.partitionBy(*GRID_KEYS).orderBy(F.col("_pos").desc_nulls_last())
     upto = back.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = back.rowsBetween(Window.unboundedPreceding, -1)
-    marked = rows.select(*GRID_KEYS, "Date", F.lag("Date").over(back).alias("_until"),
+    marked = rows.select(*GRID_KEYS, "_pos", F.lag("_pos").over(back).alias("_until"),
                          F.min("DateDeblocage").over(upto).alias("_at"), F.min("DateDeblocage").over(before).alias("_later"))
     booked = F.coalesce(F.when(F.col("_moves"), F.col("_at")).otherwise(F.col("_later")), F.col("_last_date"))
-    return (expanded(marked.join(last_date, CAMPAIGN), dates, "Date")
+    return (expanded(marked.join(spans, CAMPAIGN), days, "_pos", "_dates")
             .select(*GRID_KEYS, F.col("_day").alias("Date"), booked.alias("DateDeblocage")))
 
 
-def release_buckets(flows: DataFrame, last_date: DataFrame) -> DataFrame:
-    """(campaign, DateDeblocage): release dates and the last movement date."""
-    releases = flows.where(F.col("DateDeblocage").isNotNull()).select(*CAMPAIGN, "DateDeblocage")
-    return releases.unionByName(last_date.withColumnRenamed("_last_date", "DateDeblocage")).distinct()
-
-
-def booked_timeline(rows: DataFrame, last_date: DataFrame) -> DataFrame:
+def booked_timeline(rows: DataFrame, spans: DataFrame) -> DataFrame:
     """Opened flows summed by (reference, bucket), with running totals; the
-    opening row keeps its null date.  One shuffle on (campaign, reference)
-    serves the backward window, the group-by and the running window."""
-    back = (Window.partitionBy(*GRID_KEYS).orderBy(F.col("Date").desc_nulls_last())
+    opening row has no bucket.  A campaign's last bucket is its last date.  One
+    shuffle on (campaign, reference) serves the backward window, the group-by
+    and the running window."""
+    back = (Window.partitionBy(*GRID_KEYS).orderBy(F.col("_pos").desc_nulls_last())
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    bucket = F.when(F.col("Date").isNotNull(), F.coalesce(F.min("DateDeblocage").over(back), F.col("_last_date")))
-    sums = (rows.join(last_date, CAMPAIGN).select(*GRID_KEYS, bucket.alias("_bucket"), *MEASURES)
-            .groupBy(*GRID_KEYS, F.col("_bucket").alias("DateDeblocage"))
+    # A row's own bucket counts only where the reference itself has a release that day.
+    own = F.when(F.col("DateDeblocage").isNotNull(), F.col("_bucket"))
+    bucket = F.when(F.col("_pos").isNotNull(), F.coalesce(F.min(own).over(back), F.col("_buckets")))
+    sums = (rows.join(spans, CAMPAIGN).select(*GRID_KEYS, bucket.alias("_booked"), *MEASURES)
+            .groupBy(*GRID_KEYS, "_booked")
             .agg(*[fsum0(c).cast(EXACT).alias(c) for c in MEASURES]))
-    return running(sums, "DateDeblocage")
+    return running(sums, "_booked")

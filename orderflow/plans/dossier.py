@@ -7,7 +7,7 @@ has the same frames with exact decimals, from which later ones are computed.
 Three tables are written to the checkpoint folder the first time a plan needs
 them, because many plans start from them: the campaign facts (one row per
 campaign), the article -> reference map (a dimension) and, for the grid family
-only, the by-reference flows with their dates.  No plan hints a broadcast: the
+only, the by-reference flows and their numbered dates.  No plan hints a broadcast: the
 planner and AQE decide from sizes in bytes.
 """
 
@@ -221,9 +221,22 @@ class ExactDossier:
         ordered = byref.keyed_rows(self.purchase_lines, self.lookup, byref.PURCHASE[0])
         return grid.ref_universe([ordered, self._flows])
 
+    @cached_property
+    def _dates(self) -> DataFrame:
+        """The movement dates of every campaign, numbered."""
+        return self._stored(grid.numbered_dates(self._flows))
+
     @cached_property
     def movement_dates(self) -> DataFrame:
-        return self._stored(grid.movement_dates(self._flows))
+        return self._dates.select(*CAMPAIGN, "Date")
+
+    @cached_property
+    def _spans(self) -> DataFrame:
+        return grid.campaign_spans(self._dates)
+
+    @cached_property
+    def _days(self) -> DataFrame:
+        return grid.calendar(self._dates, "_pos")
 
     @cached_property
     def ref_date_grid(self) -> DataFrame:
@@ -231,19 +244,19 @@ class ExactDossier:
 
     @cached_property
     def _opened(self) -> DataFrame:
-        return grid.opened(self.ref_universe, self._flows)
+        return grid.opened(self.ref_universe, self._flows, self._dates)
 
     @cached_property
     def _timeline(self) -> DataFrame:
-        return grid.running(self._opened, "Date")
+        return grid.running(self._opened, "_pos")
 
     @cached_property
     def movements_on_grid(self) -> DataFrame:
-        return grid.movements_on_grid(self._timeline, self.movement_dates)
+        return grid.movements_on_grid(self._timeline, self._spans, self._days)
 
     @cached_property
     def _cumulative(self) -> DataFrame:
-        return grid.cumulative(self._timeline, self.movement_dates, self.facts, "Date")
+        return grid.cumulative(self._timeline, self._spans, self._days, self.facts, "_pos", "_dates", "Date")
 
     @cached_property
     def cumulative_by_date(self) -> DataFrame:
@@ -254,23 +267,20 @@ class ExactDossier:
         return grid.as_shares(self._cumulative)
 
     # ---- re-bucketing ----------------------------------------------------
-    def _released(self, df: DataFrame) -> DataFrame:
-        """Rows of campaigns with releases on references."""
-        return df.join(self.produced.where("has_release_ref").select(*CAMPAIGN), CAMPAIGN, "left_semi")
-
     @cached_property
-    def _last_date(self) -> DataFrame:
-        return self._stored(rebucket.last_movement_date(self._released(self.movement_dates)))
+    def _released(self) -> DataFrame:
+        """Spans of the campaigns with releases on references; only these are re-bucketed."""
+        return self._spans.join(self.produced.where("has_release_ref").select(*CAMPAIGN), CAMPAIGN, "left_semi")
 
     @cached_property
     def next_release_date(self) -> DataFrame:
-        return rebucket.next_release_date(self._opened, self.movement_dates, self._last_date)
+        return rebucket.next_release_date(self._opened, self._released, self._days)
 
     @cached_property
     def _by_release(self) -> DataFrame:
-        buckets = self._stored(rebucket.release_buckets(self._released(self._flows), self._last_date))
-        timeline = rebucket.booked_timeline(self._opened, self._last_date)
-        return grid.cumulative(timeline, buckets, self.facts, "DateDeblocage")
+        timeline = rebucket.booked_timeline(self._opened, self._released)
+        return grid.cumulative(timeline, self._released, grid.calendar(self._dates, "_bucket"), self.facts,
+                               "_booked", "_buckets", "DateDeblocage")
 
     @cached_property
     def by_release_date(self) -> DataFrame:
