@@ -41,6 +41,8 @@ MIN_LETTERS, MIN_COUNT, RATIO = 5, 3, 2
 TYPO_EVERY = 97
 #: No word is entered before this position, as none is shorter than ``MIN_LETTERS``.
 FIRST_POSITION = MIN_LETTERS // 2
+#: Bits that tell which letters follow a node.
+MASK = 64
 #: Words that a task counts before it hands the counts on.
 HELD_WORDS = 100_000
 _RUN = re.compile("[a-zÀ-ÿ]+")
@@ -119,26 +121,30 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(paths, edges) of (id, word) rows.
 
     Paths have one row per word and direction: id, back, o (the word as spelt there) and path, its nodes that branch
-    or end a word, as (k, node).  Edges have one row per node: node and edges, its (label, child, word), the word
-    being the id of the one that ends at the child; the node's own word stands under an empty label.
+    or end a word, as (k, node, follow).  Edges have one row per node: node and edges, its (label, child, follow,
+    word), the word being the id of the one that ends at the child; the node's own word stands under an empty label.
+    ``follow`` has a bit for every letter that may come next (letters share bits), so that dead states go at once.
     """
     passed = words.select("id", "word").mapInArrow(_prefixes, "id long, back boolean, k int, node long, letter int")
     passed = stored(passed)
-    branching = passed.groupBy("node").agg(F.min("letter").alias("a"), F.max("letter").alias("b")).where("a = 0 or a < b")
-    paths = (passed.join(branching.select("node"), "node")
-             .groupBy("id", "back").agg(F.sort_array(F.collect_list(F.struct("k", "node"))).alias("path"))
+    follow = F.bit_or(F.when(F.col("letter") > 0, F.expr(f"shiftleft(1L, letter % {MASK})")).otherwise(F.lit(0).cast("long")))
+    branching = (passed.groupBy("node").agg(F.min("letter").alias("a"), F.max("letter").alias("b"), follow.alias("follow"))
+                 .where("a = 0 or a < b"))
+    paths = (passed.join(branching.select("node", "follow"), "node")
+             .groupBy("id", "back").agg(F.sort_array(F.collect_list(F.struct("k", "node", "follow"))).alias("path"))
              .join(words.select("id", "word"), "id")
              .select("id", "back", F.when(F.col("back"), F.reverse("word")).otherwise(F.col("word")).alias("o"), "path"))
     paths = stored(paths)
     step = F.zip_with(F.slice("path", F.lit(1), F.size("path") - 1), F.slice("path", F.lit(2), F.size("path")),
-                      lambda a, b: F.struct(a["node"].alias("node"), a["k"].alias("k"), b["node"].alias("child"), b["k"].alias("to")))
+                      lambda a, b: F.struct(a["node"].alias("node"), a["k"].alias("k"), b["node"].alias("child"),
+                                            b["k"].alias("to"), b["follow"].alias("follow")))
     inner = (paths.select("id", "o", F.explode(step).alias("s")).select("id", "o", "s.*")
-             .select("node", _piece(F.col("k"), F.col("to") - F.col("k")).alias("label"), "child",
+             .select("node", _piece(F.col("k"), F.col("to") - F.col("k")).alias("label"), "child", "follow",
                      F.when(F.col("to") == F.length("o"), F.col("id")).alias("word")))
     ends = paths.select(F.element_at("path", -1)["node"].alias("node"), F.lit("").alias("label"),
-                        F.lit(None).cast("long").alias("child"), F.col("id").alias("word"))
-    edges = (inner.unionByName(ends).groupBy("node", "label", "child").agg(F.max("word").alias("word"))
-             .groupBy("node").agg(F.collect_list(F.struct("label", "child", "word")).alias("edges")))
+                        F.lit(None).cast("long").alias("child"), F.lit(0).cast("long").alias("follow"), F.col("id").alias("word"))
+    edges = (inner.unionByName(ends).groupBy("node", "label", "child").agg(F.max("follow").alias("follow"), F.max("word").alias("word"))
+             .groupBy("node").agg(F.collect_list(F.struct("label", "child", "follow", "word")).alias("edges")))
     return paths, stored(edges)
 
 
@@ -148,12 +154,13 @@ def _moved(states: DataFrame, edges: DataFrame, positions: list[Column]) -> Data
     The result has the states that go on and, with a ``near`` word, those that are done.
     """
     size = F.length("o")
+    open_ = F.expr(f"(shiftright(follow, ascii(substring(o, at + 1, 1)) % {MASK}) & 1L) = 1L")
     return (states.join(edges, "node").withColumn("e", F.explode("edges"))
             .select("id", "back", "o", "position", "e.*").withColumn("m", F.length("label"))
             .withColumn("at", F.explode(F.array_compact(F.array(*positions))))
+            .where(F.when(F.col("at") == size, F.col("word").isNotNull()).otherwise((F.col("at") < size) & open_))
             .select("id", "back", "o", F.col("at").alias("position"), F.col("child").alias("node"), F.lit(1).alias("edits"),
-                    F.when(F.col("at") == size, F.col("word")).alias("near"))
-            .where((F.col("near").isNotNull()) | ((F.col("position") < F.length("o")) & F.col("node").isNotNull())))
+                    F.when(F.col("at") == size, F.col("word")).alias("near")))
 
 
 def _edited(paths: DataFrame, edges: DataFrame) -> DataFrame:
