@@ -5,7 +5,8 @@ bucket.  Digests of an immutable snapshot are split into buckets of bounded size
 a static 3-wise binary-fuse filter (8-bit fingerprints, about 9 bits a key) that is built once and kept.  A new batch
 is first grouped on its own; its distinct digests are screened by the filters of their buckets, and only positives
 are joined with the snapshot's exact buckets, where the texts are compared.  A filter has no false negatives, so
-nothing is missed; a false positive finds no bucket; unequal texts under one digest would stay apart.
+nothing is missed; a false positive finds no bucket; unequal texts of snapshot and batch under one digest stay apart
+(inside either side, the digest alone decides).
 
 Of equal texts the row with the most code points stays, then the smallest doc_id.
 
@@ -16,14 +17,17 @@ of their id; empty snapshots and empty batches give filters for nothing and no r
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import key_text, stored
+from orderflow.llm.bloom import filter_of, probe
+from orderflow.llm.common import bounded_batches, key_text, stored
 
 #: Distinct digests in a bucket and its filter, on average.
 BUCKET_KEYS = 20_000
@@ -180,14 +184,32 @@ def deduplicate(docs: DataFrame, incoming: Column, filters: DataFrame | None = N
                     F.col("digest").alias("text_sha256"), "incoming"))
 
 
+def _texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(id, text) of the rows whose ``key_text`` id is among ``keys`` (column ``id``), and of few others.
+
+    A Bloom filter of fixed size goes to the rows, so texts that nobody asks for are not shuffled.
+    """
+    wanted = docs.sparkSession.sparkContext.broadcast(filter_of(keys.select(F.xxhash64("id").alias("hash"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = probe(wanted.value, batch.column(0).to_numpy().view(np.uint64))
+            if found.any():
+                picked = batch.filter(pa.array(found))
+                yield pa.RecordBatch.from_arrays([picked.column(1), picked.column(2)], ["id", "text"])
+
+    rows = bounded_batches(docs).select(key_text(F.col("doc_id").cast("long")).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.select(F.xxhash64("id").alias("hash"), "id", "text").mapInArrow(run, "id string, text string")
+
+
 def _same_bytes(docs: DataFrame, both: DataFrame) -> DataFrame:
     """Digests under which the snapshot's text and the batch's text are the same, compared as texts.
 
-    The texts of the positives' representatives are found by a merge join at every size.
+    Only the texts of the positives' representatives move.  They are found by a merge join at every size.
     """
     ends = both.select("digest", F.explode(F.array("new_best.doc_id", "old_best.doc_id")).alias("id"))
-    ends = ends.select("digest", key_text(F.col("id")).alias("id"))
-    texts = (docs.select(key_text(F.col("doc_id").cast("long")).alias("id"), normalised().alias("text"))
+    ends = stored(ends.select("digest", key_text(F.col("id")).alias("id")).distinct())
+    texts = (_texts_of(docs, ends.select("id")).select("id", normalised().alias("text"))
              .withColumn("digest", F.sha2("text", 256)).join(ends.hint("merge"), ["digest", "id"]))
     return texts.groupBy("digest").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a = b").select("digest")
 
