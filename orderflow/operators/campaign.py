@@ -81,3 +81,27 @@ def campaign_status(facts: DataFrame) -> DataFrame:
 def campaign_totals(facts: DataFrame) -> DataFrame:
     """Ordered pieces and amount of the produced campaigns: the denominators of every %."""
     return facts.where("status = 'ok'").select(*CAMPAIGN, "qte_achat_tot", "montant_achat_tot")
+
+
+def campaign_hashes(campaigns: DataFrame, purchases: DataFrame, sales: DataFrame, releases: DataFrame,
+                    cancellations: DataFrame, receipts: DataFrame, shipments_: DataFrame, lookup: DataFrame) -> DataFrame:
+    """(campaign, inputs): a hash of every row that a campaign's outputs are made of.
+
+    Rows of the parameter table and lists as they stand, order lines and movements with their pack size and references
+    (so a change of an article shows in the campaigns that use it).  The hash does not depend on the order of rows; it
+    is combined map-side, so only (partitions x campaigns) rows are shuffled."""
+    def branch(family: str, df: DataFrame, on_references: bool) -> DataFrame:
+        if on_references:
+            df = df.join(lookup, "IDArticle", "left")
+        values = [F.lit(family), *[c for name in sorted(df.columns) for c in (F.col(name).isNull(), F.col(name))]]
+        return df.dropna(subset=CAMPAIGN).select(*CAMPAIGN, F.xxhash64(*values).alias("h"), F.xxhash64(F.lit("second"), *values).alias("g"))
+
+    parts = [branch("campaign", campaigns, False), branch("purchase", purchases, True), branch("sale", sales, True),
+             branch("release", releases, False), branch("cancellation", cancellations, False),
+             branch("receipt", receipts, True), branch("shipment", shipments_, True)]
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    total = [F.sum(F.col(c).cast("decimal(20,0)")).cast("string") for c in ("h", "g")]
+    found = union.groupBy(*CAMPAIGN).agg(F.sha2(F.concat_ws(":", F.count("*").cast("string"), *total), 256).alias("inputs"))
+    return campaigns.dropna(subset=CAMPAIGN).select(*CAMPAIGN).distinct().join(found, CAMPAIGN)

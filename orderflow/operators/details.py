@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderflow.functions.exprs import CAMPAIGN, RFC
@@ -21,12 +21,8 @@ def duplicate_release_alerts(releases_v: DataFrame) -> DataFrame:
 
     Each row appears once, with ``key_count`` (rows sharing its key) and
     ``listed_times`` = key_count - 1, the number of times a row-per-pair
-    listing would show it.  A null reference is a key like any other."""
-    key = [*CAMPAIGN, "IDCommande", RFC]
-    dup = (releases_v.groupBy(*key).agg(F.count(F.lit(1)).alias("key_count"))
-           .filter(F.col("key_count") > 1)
-           .select(*[F.col(c).alias("_k_" + c) for c in key], "key_count"))
-    cond = [releases_v[c].eqNullSafe(dup["_k_" + c]) for c in key]
-    return (releases_v.join(dup, cond)
-            .select(*[releases_v[c] for c in releases_v.columns], "key_count",
-                    (F.col("key_count") - 1).alias("listed_times")))
+    listing would show it.  A null reference is a key like any other; a key's
+rows are its release lines times its prices."""
+    same = Window.partitionBy(*CAMPAIGN, "IDCommande", RFC)
+    return (releases_v.withColumn("key_count", F.count(F.lit(1)).over(same)).where("key_count > 1")
+            .withColumn("listed_times", F.col("key_count") - 1))

@@ -1,14 +1,15 @@
-"""The dossier: every output of every campaign as a lazy DataFrame.
+"""The dossier: every output of every campaign as a DataFrame.
 
 ``Dossier(tables)`` wires the operators; ``dossier.query(key)``, or the
 attribute of that name, returns one output with doubles.  ``dossier.exact``
 has the same frames with exact decimals, from which later ones are computed.
 
-Three tables are written to the checkpoint folder the first time a plan needs
-them, because many plans start from them: the campaign facts (one row per
-campaign), the article -> reference map (a dimension) and, for the grid family
-only, the by-reference flows and their numbered dates.  No plan hints a broadcast: the
-planner and AQE decide from sizes in bytes.
+Frames are lazy but for four tables that many plans start from.  They are
+written to the checkpoint folder when a plan that needs them is built, so
+building one runs Spark jobs: the campaign facts (one row per campaign), the
+article -> reference map (a dimension), the purchase prices by reference and,
+for the grid family only, the by-reference flows and their numbered dates.  No
+plan hints a broadcast: the planner and AQE decide from sizes in bytes.
 """
 
 from __future__ import annotations
@@ -42,9 +43,9 @@ SINK_ONLY_KEYS = ["campaigns_produced"]
 
 class Dossier:
     def __init__(self, tables: DomainTables, materialize: bool = True):
-        self.t = tables
+        self.t = tables.guard()
         self.spark = tables.campaigns.sparkSession
-        self.exact = ExactDossier(tables, materialize)
+        self.exact = ExactDossier(self.t, materialize)
 
     def query(self, key: str) -> DataFrame:
         if key not in QUERY_KEYS and key not in SINK_ONLY_KEYS:
@@ -61,7 +62,7 @@ class ExactDossier:
     """All frames, sums as exact decimals."""
 
     def __init__(self, tables: DomainTables, materialize: bool = True):
-        self.t = tables
+        self.t = tables.guard()
         self.materialize = materialize
 
     def _stored(self, df: DataFrame) -> DataFrame:
@@ -107,6 +108,14 @@ class ExactDossier:
         return self._stored(campaign.campaign_facts(
             self.t.campaigns, self._purchases_all, self.t.releases, self.t.cancellations, receipts, shipped, self.lookup))
 
+    @cached_property
+    def hashes(self) -> DataFrame:
+        """A hash of the inputs of every listed campaign: equal inputs give equal outputs."""
+        receipts = orders.receipt_rows(self.t.mouvement, orders.purchase_order_keys(self._purchases_all), self.t.article)
+        shipped = orders.shipments(self.t.mouvement, orders.sales_order_keys(self._sales_rows_all), self.t.article)
+        return campaign.campaign_hashes(self.t.campaigns, self._purchases_all, self._sales_rows_all, self.t.releases,
+                                        self.t.cancellations, receipts, shipped, self.lookup)
+
     @cached_property
     def produced(self) -> DataFrame:
         return self.facts.where("status = 'ok'")
@@ -151,6 +160,11 @@ class ExactDossier:
 
     @cached_property
     def purchase_price_by_ref(self) -> DataFrame:
+        """Stored: every output of releases and cancellations is valued from it."""
+        return self._stored(self._prices)
+
+    @cached_property
+    def _prices(self) -> DataFrame:
         return valuation.purchase_price_by_ref(self.purchase_lines, self.lookup)
 
     @cached_property

@@ -9,15 +9,25 @@ living in one file per campaign.  Locations are always parameters.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from collections.abc import Callable
+from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderflow.schemas import DOMAIN_SCHEMAS
+from orderflow.sources.files import file_states, literal_path
 
 CORRUPT = "_corrupt_record"
+REJECTS = "source string, record string"
+#: Lists that are kept by hand: an unreadable file of these is set aside, not an error.
+HAND_KEPT = ("releases", "cancellations")
+#: Quantities and prices beyond this, infinite ones and NaN are rejected with their row; products of two such values
+#: and sums of thousands of these stay within the exact decimals.
+LARGEST_VALUE = 1e9
 
 
 @dataclass(frozen=True)
@@ -31,8 +41,9 @@ class DomainTables:
     article_pack: DataFrame
     releases: DataFrame
     cancellations: DataFrame
-    # (source, record) of input rows that do not fit their table's schema.
+    # (source, record) of input rows that do not fit their table's schema, and of files that cannot be read.
     rejects: DataFrame | None = None
+    guarded: bool = False
 
     def conformed(self) -> "DomainTables":
         """Select and cast every table to its declared schema (column pruning
@@ -45,6 +56,23 @@ class DomainTables:
             out[name] = df.select(*[F.col(s.name).cast(s.dataType).alias(s.name) for s in schema], *more)
         return DomainTables(**out, rejects=self.rejects)
 
+    def guard(self) -> "DomainTables":
+        """Move rows with a number that exact sums cannot hold (NaN, infinite, beyond ``LARGEST_VALUE``) to the
+        rejects, so that one such row stops neither its own campaign nor another."""
+        if self.guarded:
+            return self
+        kept, rejected = {}, [] if self.rejects is None else [self.rejects]
+        for name, schema in DOMAIN_SCHEMAS.items():
+            numbers = [f.name for f in schema if isinstance(f.dataType, T.DoubleType)]
+            if numbers:
+                df = getattr(self, name)
+                # NaN is larger than any number in comparisons.
+                fits = reduce(lambda a, b: a & b, [F.coalesce(F.col(c).between(-LARGEST_VALUE, LARGEST_VALUE), F.lit(True))
+                                                   for c in numbers])
+                kept[name] = df.where(fits)
+                rejected.append(df.where(~fits).select(F.lit(name).alias("source"), F.to_json(F.struct("*")).alias("record")))
+        return replace(self, **kept, rejects=reduce(DataFrame.unionByName, rejected), guarded=True)
+
 
 def _with_text_keys(found: T.StructType, schema: T.StructType) -> T.StructType:
     """The schema found, with the declared text columns as text: Spark infers the types of partition columns, and
@@ -67,6 +95,51 @@ def _split(df: DataFrame, name: str, schema: T.StructType) -> tuple[DataFrame, D
     return df.where(~unfit).drop(CORRUPT), bad
 
 
+def _loaded(reader: Callable[[], DataFrameReader], schema: T.StructType, text: bool, paths: str | list[str]) -> DataFrame:
+    if text:
+        # As text and unpruned, so that every plan sees the same rows as malformed, whatever columns it needs.
+        wide = T.StructType([T.StructField(c, T.StringType()) for c in (*schema.names, CORRUPT)])
+        return (reader().option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+                .option("columnPruning", "false").schema(wide).load(paths))
+    found = reader().load(paths)
+    return reader().schema(_with_text_keys(found.schema, schema)).load(paths)
+
+
+def _aside(spark: SparkSession, name: str, files: list[tuple[str, str]]) -> DataFrame:
+    """Reject rows of files, from (path, error)."""
+    rows = [(name, json.dumps({"file": path, "error": error}, ensure_ascii=False)) for path, error in files]
+    return spark.createDataFrame(rows, REJECTS)
+
+
+def _read_lists(spark: SparkSession, name: str, folder: str, fmt: str, options: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of a table kept by hand: files that cannot be read, or lack a column, are set aside whole."""
+    schema = DOMAIN_SCHEMAS[name]
+    states = file_states(spark, folder, fmt, options)
+    found = [] if states is None else states.collect()  # one short row per listed file
+    bad = [(r.path, r.error) for r in found if r.error is not None]
+    by_columns: dict[str, list[str]] = {}
+    for r in found:
+        if r.error is None:
+            by_columns.setdefault(r.signature, []).append(r.path)
+
+    def reader() -> DataFrameReader:
+        return spark.read.format(fmt).options(**options).option("basePath", folder)
+
+    rows, rejects = [], []
+    for _, paths in sorted(by_columns.items()):
+        df = _loaded(reader, schema, fmt in ("csv", "json"), [literal_path(p) for p in sorted(paths)])
+        missing = [c for c in schema.names if c not in df.columns]
+        if missing:
+            bad += [(path, f"missing columns: {', '.join(missing)}") for path in sorted(paths)]
+            continue
+        fit, unfit = _split(df, name, schema)
+        rows.append(fit.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]))
+        rejects.append(unfit)
+    if bad or not rejects:
+        rejects.append(_aside(spark, name, bad))
+    return reduce(DataFrame.unionByName, rows or [spark.createDataFrame([], schema)]), reduce(DataFrame.unionByName, rejects)
+
+
 def read_domain_tables(spark: SparkSession, root: str, fmt: str = "parquet",
                        options: dict[str, str] | None = None) -> DomainTables:
     """Read the nine domain tables from ``root/<name>`` with explicit schemas.
@@ -74,29 +147,22 @@ def read_domain_tables(spark: SparkSession, root: str, fmt: str = "parquet",
     ``fmt`` is any Spark source (parquet, orc, csv, json); CSV needs
     ``options={"header": "true"}``.  Rows that are malformed, or whose values
     do not fit the schema, do not stop the job: they go to ``rejects``, and
-    every other row of every campaign is used."""
-    text = fmt in ("csv", "json")
+    every other row of every campaign is used.  The same holds for whole files
+    of the lists kept by hand (releases, cancellations): one that cannot be
+    read, or lacks a column, goes to ``rejects`` with its path and the error; a
+    missing folder is an empty list.  These files are opened once when this
+    function runs."""
+    options = options or {}
     tables, rejected = {}, []
     for name, schema in DOMAIN_SCHEMAS.items():
         path = f"{root.rstrip('/')}/{name}"
-
-        def reader():
-            return spark.read.format(fmt).options(**(options or {}))
-
-        if text:
-            # As text and unpruned, so that every plan sees the same rows as malformed, whatever columns it needs.
-            wide = T.StructType([T.StructField(c, T.StringType()) for c in (*schema.names, CORRUPT)])
-            df = (reader().option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-                  .option("columnPruning", "false").schema(wide).load(path))
+        if name in HAND_KEPT:
+            tables[name], bad = _read_lists(spark, name, path, fmt, options)
         else:
-            df = reader().load(path)
-            df = reader().schema(_with_text_keys(df.schema, schema)).load(path)
-        tables[name], bad = _split(df, name, schema)
+            df = _loaded(lambda: spark.read.format(fmt).options(**options), schema, fmt in ("csv", "json"), path)
+            tables[name], bad = _split(df, name, schema)
         rejected.append(bad)
-    rejects = rejected[0]
-    for bad in rejected[1:]:
-        rejects = rejects.unionByName(bad)
-    return DomainTables(**tables, rejects=rejects).conformed()
+    return DomainTables(**tables, rejects=reduce(DataFrame.unionByName, rejected)).conformed()
 
 
 def write_domain_tables(tables: DomainTables, root: str, mode: str = "overwrite",

@@ -70,6 +70,33 @@ def test_nothing_is_shuffled_above_the_grid(small):
         assert "Exchange" not in top.replace("BroadcastExchange", ""), (key, top)
 
 
+@pytest.mark.parametrize("key", ["movements_on_grid", "cumulative_by_date", "pct_cum_by_date", "next_release_date",
+                                 "by_release_date", "pct_cum_by_release_date"])
+def test_grid_rows_are_generated_not_filtered(small, key):
+    """Above the timeline there are equi-joins with calendar rows and a generator, no join that pairs a timeline row
+    with dates it does not hold for."""
+    df = small.query(key)
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    above = text.split("Window [")[0]
+    assert "Generate posexplode(slice(_days" in above
+    joins = [line for line in above.splitlines() if "Join Inner" in line]
+    assert joins and not any(sign in line for line in joins for sign in (" < ", " <= ", " > ", " >= ")), joins
+    # What leaves the generator is the grid: no filter on top of it.
+    assert "Filter" not in above.split("Generate posexplode")[0]
+
+
+def test_calendar_chunks(small, monkeypatch):
+    """The grid does not depend on where a campaign's dates are cut."""
+    from orderflow.plans.dossier import Dossier as Fresh
+    want = {key: sorted(map(str, small.query(key).collect())) for key in ("next_release_date", "pct_cum_by_release_date")}
+    monkeypatch.setattr(grid_ops, "CHUNK", 7)
+    again = Fresh(small.t)
+    chunks = grid_ops.calendar(again.exact._dates, "_pos")
+    assert chunks.where("size(_days) > 7").count() == 0 and chunks.where("_chunk > 3").count() > 0
+    for key, rows in want.items():
+        assert sorted(map(str, again.query(key).collect())) == rows
+
+
 def test_grid_size_is_refs_times_dates(small):
     refs = small.ref_universe.groupBy(*C).count().withColumnRenamed("count", "r")
     dates = small.movement_dates.groupBy(*C).count().withColumnRenamed("count", "n")
