@@ -86,7 +86,7 @@ def sibling_sides(conversations: DataFrame) -> DataFrame:
 
     Chosen is the conversation; rejected has its turns before the cut and from there on those of its sibling (the
     conversation whose id differs in the last bit).  The cut is the first assistant turn in the second half, or the
-    end.  Siblings are grouped together, so the texts are shuffled once.
+    end; turns without a number follow the numbered ones, so they stand behind it on either side.  Siblings are grouped together, so the texts are shuffled once.
     """
     rows = _plain(conversations.where("conv_id is not null"), F.col("conv_id").cast("long").alias("conv_id"))
     both = (rows.groupBy(F.shiftright("conv_id", 1).alias("siblings"))
@@ -102,7 +102,7 @@ def sibling_sides(conversations: DataFrame) -> DataFrame:
     first = F.array_min(F.transform(replies, lambda t: t["turn"]))
     parts = parts.withColumn("cut", F.coalesce(first, F.col("last") + 1))
     rejected = F.array_union(F.filter("own", lambda t: t["turn"] < F.col("cut")),
-                             F.filter("other", lambda t: (t["turn"] >= F.col("cut")) & (t["turn"] < _LAST)))
+                             F.filter("other", lambda t: t["turn"] >= F.col("cut")))
     return parts.select("pair_id", _ordered(F.col("own")).alias("chosen"), _ordered(rejected).alias("rejected"))
 
 
@@ -125,7 +125,8 @@ cut AS (SELECT conv_id, coalesce(min(turn) FILTER (r = '{ASSISTANT}' AND turn >=
         FROM c JOIN h USING (conv_id) GROUP BY conv_id),
 a AS (SELECT conv_id AS pair_id, list({{'r': r, 'x': x}} ORDER BY turn, r, x) l FROM (SELECT DISTINCT * FROM c) GROUP BY conv_id),
 s AS (SELECT conv_id AS pair_id, turn, r, x FROM c JOIN cut USING (conv_id) WHERE turn < cut
-      UNION SELECT cut.conv_id, turn, r, x FROM c JOIN cut ON xor(c.conv_id, 1) = cut.conv_id WHERE turn >= cut),
+      UNION SELECT cut.conv_id, turn, r, x FROM c JOIN cut ON xor(c.conv_id, 1) = cut.conv_id
+      WHERE turn >= cut OR turn IS NULL),
 b AS (SELECT pair_id, list({{'r': r, 'x': x}} ORDER BY turn, r, x) l FROM s GROUP BY pair_id),
 p AS (SELECT pair_id, a.l AS c, coalesce(b.l, []) AS j FROM a LEFT JOIN b USING (pair_id)),
 n AS (SELECT *, coalesce(list_min(list_filter(range(1, greatest(len(c), len(j)) + 1), lambda i: c[i] IS DISTINCT FROM j[i])) - 1,

@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from orderflow.llm import preference as m
 
 
@@ -47,7 +50,26 @@ def test_nulls_and_marks(spark):
 
 def test_siblings(spark):
     conv = [(c, t, "user" if t % 2 == 0 else "assistant", f"{c}-{t}") for c in (2, 3, 6) for t in range(4)] + [(None, 0, "user", "x")]
-    conv += [conv[0], (6, None, "user", "late")]
+    conv += [conv[0], (6, None, "user", "late"), (3, None, "assistant", "last"), (8, None, "user", "alone")]
     df = m.format_sides(m.sibling_sides(spark.createDataFrame(conv, "conv_id long, turn long, role string, text string")))
     got = {r.pair_id: (r.prompt_turns, r.chosen_turns, r.rejected_turns, r.rejected) for r in df.collect()}
-    assert got == {2: (3, 1, 1, render([("assistant", "3-3")])), 3: (3, 1, 1, render([("assistant", "2-3")])), 6: (3, 2, 0, "")}
+    assert got == {2: (3, 1, 2, render([("assistant", "3-3"), ("assistant", "last")])), 3: (3, 2, 1, render([("assistant", "2-3")])),
+                   6: (3, 2, 0, ""), 8: (0, 1, 0, "")}
+
+
+def test_siblings_match_sql(spark):
+    """Null turns, roles and texts on either side, repeated rows, ties and an empty table, against the SQL."""
+    duckdb = pytest.importorskip("duckdb")
+    rnd = random.Random(4)
+    rows = [(rnd.choice([None, *range(12)]), rnd.choice([None, 0, 1, 2, 3, 4, 5]), rnd.choice([None, "user", "assistant", "system"]),
+             rnd.choice([None, "", "a", "b <|im_end|>", "é𝄞"])) for _ in range(160)]
+    for conv in (rows + rows[:9], []):
+        df = spark.createDataFrame(conv, "conv_id long, turn int, role string, text string").repartition(3)
+        con = duckdb.connect()
+        con.execute("CREATE TABLE conversations (conv_id BIGINT, turn INTEGER, role VARCHAR, text VARCHAR)")
+        if conv:
+            con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", conv)
+        want = con.execute(m.ORACLE_SQL)
+        columns = [c[0] for c in want.description]
+        got = m.format_sides(m.sibling_sides(df)).select(*columns).collect()
+        assert sorted(map(tuple, got)) == sorted(want.fetchall())
