@@ -64,13 +64,19 @@ def row_hash(*cols: Column) -> Column:
     return F.md5(F.concat_ws("\x1f", *map(key_text, cols)))
 
 
+def id_text_hash(doc_id: Column, text_crc32: Column) -> Column:
+    """Hash of a row's id and its text's checksum: rows with a null or repeated id differ in it by their texts."""
+    return row_hash(doc_id, text_crc32)
+
+
 def spread_rank(df: DataFrame, keys: list[str], hashed: str, order: list[str], out: str,
                 each: DataFrame | None = None) -> DataFrame:
     """Add ``out``: the gapless rank from 0 of each row within ``keys``, ordered by ``hashed`` and then ``order``.
 
-    ``hashed`` is a hexadecimal string.  Rows are ranked inside (keys, first digits of the hash); the counts of
-    the buckets before are added.  No task ever holds more than one bucket of a key, however hot the key, and the
-    rows are shuffled once.  ``each`` has one row per key combination; its other columns are added to the rows.
+    ``hashed`` is a hexadecimal string, of what tells rows apart (id and text, see ``id_text_hash``): rows are ranked
+    inside (keys, first digits of the hash) and the counts of the buckets before are added, so a task holds one
+    bucket of a key, however hot the key, and the rows are shuffled once.  Only copies of a row, equal in all that is
+    hashed, share a bucket.  ``each`` has one row per key combination; its other columns are added to the rows.
     """
     names = [f"__key{i}" for i in range(len(keys))]
     df = df.withColumns({n: key_text(F.col(k)) for n, k in zip(names, keys)} | {"__bucket": F.substring(hashed, 1, RANK_DIGITS)})

@@ -181,7 +181,8 @@ def fold(doc_id: Column, folds: int) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: int) -> DataFrame:
     """(doc_id, y, text) of at most about ``rows`` labelled documents for which ``learn`` holds.
 
-    The choice is by a hash of the id; the chosen ids are a bounded number, so documents are not shuffled for them.
+    The choice is by a hash of the id; the chosen ids are a bounded number, so other documents are not shuffled, and
+    an id that many rows share counts once.
     """
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
              .where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & learn)
@@ -189,8 +190,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     there = known.count()
     keep = min(1.0, rows / max(1, there))
     chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) < F.lit(int(keep * (1 << 20))))
-    return (bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
-            .join(F.broadcast(chosen), "doc_id"))
+    found = (bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
+             .join(F.broadcast(chosen), "doc_id"))
+    # One row per id, combined before the shuffle: a repeated id brings one of its texts, not all of its rows.
+    one = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one")
+    return found.groupBy("doc_id", "y").agg(one).select("doc_id", "y", F.col("one.text").alias("text"))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", learn: Column | None = None) -> AdditiveModel:

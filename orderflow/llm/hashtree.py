@@ -8,8 +8,9 @@ inside the subtrees whose weights change.
 ``tree(shards)``: the first eight shards form two regions of two racks of two shards; every further shard is a region
 of its own with one rack.  From eight shards on, one more shard therefore takes rows only into itself.
 
-Slots number the rows of a shard from 0 without gaps, in the order of the md5 of the id (a fixed shuffle of the
-shard).  They are ranked inside buckets of a shard and offset by the buckets' counts, so no task holds a whole shard.
+Slots number the rows of a shard from 0 without gaps, in the order of the md5 of the id and the text's checksum (a
+fixed shuffle of the shard).  They are ranked inside buckets of a shard and offset by the buckets' counts, so no task
+holds a whole shard, also where many rows have no id or the same one.
 
 Defined cases: a null id is a key like any other (all such rows go to one shard); repeated rows of an id go to the
 same shard and get slots of their own; a null text has size 1 and the checksum of no bytes; an empty table gives an
@@ -23,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import row_hash, spread_rank, text_bytes
+from orderflow.llm.common import id_text_hash, spread_rank, text_bytes
 
 SHARDS = 8
 LAW = "key"
@@ -88,7 +89,7 @@ def assignment(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     rows = docs.select(
         "doc_id", (F.octet_length(text_bytes()) + F.lit(1)).cast("long").alias("size"),
         F.crc32(text_bytes()).alias("text_crc32"), F.lit(LAW).alias("law"),
-        shard_of(_key(), tree(shards)).alias("shard"), row_hash(F.col("doc_id")).alias("__hash"),
+        shard_of(_key(), tree(shards)).alias("shard"), id_text_hash(F.col("doc_id"), F.crc32(text_bytes())).alias("__hash"),
         shard_of(_key(), tree(shards + 1)).alias("grown_shard"))
     ranked = spread_rank(rows, ["shard"], "__hash", ["doc_id", "text_crc32", "size"], "slot")
     return ranked.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
@@ -101,7 +102,7 @@ def with_shards(docs: DataFrame, shards: int = SHARDS, names: tuple[str, str] =
     """
     shard, slot = names
     docs = docs.drop(*names)
-    rows = docs.withColumn(shard, shard_of(_key(), tree(shards))).withColumn("__hash", row_hash(F.col("doc_id")))
+    rows = docs.withColumn(shard, shard_of(_key(), tree(shards))).withColumn("__hash", id_text_hash(F.col("doc_id"), F.crc32(text_bytes())))
     return spread_rank(rows, [shard], "__hash", ["doc_id"], slot).drop("__hash")
 
 
@@ -125,13 +126,13 @@ ORACLE_SQL = f"""
 WITH bit8 AS (SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)),
         lambda c, x: xor(c >> 1, 3988292384::BIGINT * (c & 1))) v FROM range(256) t(i)),
 crc AS (SELECT list(v ORDER BY i) t FROM bit8),
-d AS (SELECT doc_id, coalesce(doc_id::VARCHAR, 'null') k, encode(coalesce(text, '')) b FROM documents),
-s AS (SELECT doc_id, k, octet_length(b) + 1 AS size,
+d AS (SELECT doc_id, coalesce(doc_id::VARCHAR, 'null') k, coalesce('=' || doc_id::VARCHAR, 'null') x, encode(coalesce(text, '')) b FROM documents),
+s AS (SELECT doc_id, k, x, octet_length(b) + 1 AS size,
         xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(b), '..'),
             lambda h: CAST('0x' || h AS BIGINT))),
             lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS text_crc32
         FROM d, crc)
 SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, '{LAW}' AS law, shard,
-    row_number() OVER (PARTITION BY shard ORDER BY md5('=' || k), doc_id, text_crc32, size) - 1 AS slot, grown_shard
+    row_number() OVER (PARTITION BY shard ORDER BY md5(x || chr(31) || '=' || text_crc32), doc_id, text_crc32, size) - 1 AS slot, grown_shard
 FROM (SELECT *, {_sql_shard(tree(SHARDS))}::INTEGER AS shard, {_sql_shard(tree(SHARDS + 1))}::INTEGER AS grown_shard FROM s)
 """
