@@ -1,4 +1,7 @@
+import re
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from orderflow.llm import toxicity as m
@@ -29,14 +32,61 @@ def test_compose_is_feeding():
         assert m.GRAMMAR.run(line) == c.run(b.run(a.run(line)))
 
 
-def test_held_out_accuracy(spark):
-    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+def test_compose_in_front(spark):
+    """All five machines, one after the other over letters and words, give what the composed one gives."""
+    g = m.Grammar(("idiot", "worthl"), ("ass",), (("kill", "you"), ("te", "voy", "a")))
+    machines = [m.threat_transducer(g.threats, g_roles := {w: s for s, ws in ((m.TARGET, m.TARGETS), (m.NEGATION, m.NEGATIONS),
+                                                                             (m.REPORT, m.REPORTS)) for w in ws}),
+                m.negation_transducer(), m.report_transducer(), m.target_transducer()]
+    assert g_roles["you"] == m.TARGET
+    rng = np.random.default_rng(2)
+    words = ["idiots", "worthless", "ass", "asset", "kill", "you", "te", "voy", "a", "not", "said", "tree", "he", ","]
+    for _ in range(300):
+        line = rng.choice(words, 9).tolist()
+        symbols = [m.BREAK if w == "," else g._insults.run([*w, m.END])[-1] for w in line] + [m.END]
+        fed = symbols
+        for machine in machines:
+            fed = [o for o in machine.run(fed) if o]
+        assert "".join(g._machine.run(symbols)) == "".join(fed)
+        text = " ".join(line)
+        want = {fed[-1]: 1} if fed else {}
+        assert {m.LABELS[k]: int(n) for k, n in enumerate(g.label_counts(text.encode())) if n} == want, text
+
+
+def test_any_of():
+    words = ["", "a", "ab", "abc", "abd", "b.", "be", "z" * 40, "é"]
+    for chosen in (words[1:], words[1:4], words[4:5], []):
+        pattern = re.compile(m.any_of(chosen))
+        assert all(bool(pattern.fullmatch(w)) == (w in chosen) for w in [*words, "abe", "bx", "z"])
+
+
+def test_learned_threats_and_short_insults(spark):
+    """Phrases with a target that tell are learned, their words alone are not; short insults as whole words."""
+    rows = [(1, f"x{chr(97 + k)} smash you y{chr(97 + k)}") for k in range(20)] + [(1, f"v{chr(97 + k)} git w{chr(97 + k)}") for k in range(20)]
+    rows += [(0, f"q{chr(97 + k)} smash r{chr(97 + k)} you gits") for k in range(20)]
+    rows += [(1, "one passage that will harm you is copied")] * 30
+    sample = spark.createDataFrame([(y, bytearray(t.encode())) for y, t in rows], "y int, text binary")
+    stems, words = m.learn_insults(sample)
+    assert words == ("git",) and "smash" not in stems
+    threats = m.learn_threats(sample, m.Grammar(stems, words))
+    assert threats == (("smash", "you"),)
+    g = m.Grammar(stems, words, threats)
+    found = [{m.LABELS[k] for k, n in enumerate(g.label_counts(t)) if n} for t in (b"I smash you", b"a smash, you", b"what a git", b"gits digit")]
+    assert found == [{"threat"}, set(), {"insult"}, set()]
+
+
+@pytest.mark.parametrize("sf, recall, precision", [("sf0.01", 0.6, 1.0), ("sf0.1", 0.87, 0.95)])
+def test_held_out(spark, sf, recall, precision):
+    """Of the held-out rows' toxic ones, those found, and of those called toxic, those that are."""
+    labels = spark.read.parquet(f"/root/testdata/{sf}/labels.parquet")
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
     held = fold(F.col("doc_id"), 4) == 2
     g = m.fit_toxicity(docs, labels, learn=~held)
     rows = m.score_texts(docs, g).join(labels.where(held), "doc_id").collect()
-    right = [(r.score >= m.THRESHOLD) == (r.toxic == 1) for r in rows]
-    assert sum(right) / len(right) > 0.9 and not any(r.score >= m.THRESHOLD and r.toxic == 0 for r in rows)
+    toxic = [r.score >= m.THRESHOLD for r in rows if r.toxic == 1]
+    called = [r.toxic == 1 for r in rows if r.score >= m.THRESHOLD]
+    assert len(toxic) > 10 and sum(toxic) >= recall * len(toxic), (sum(toxic), len(toxic))
+    assert sum(called) >= precision * len(called), (sum(called), len(called))
 
 
 def test_odd_rows(spark, odd, none):
