@@ -3,9 +3,9 @@
 Both compare every row of one side with every row of the other side that
 shares a key (a release with each receipt of its order and reference; a
 purchase line with each receipt of its order and article), then aggregate.
-The pairs are never materialised: both sides go into one timeline per key,
-pre-aggregated per day, and a range window over that timeline sums, for each
-row, exactly the rows of the other side that pair with it.  The window frame
+The pairs are never materialised: the days of both sides go into one timeline
+per key, pre-aggregated per day, and a range window over that timeline sums, for
+each day, exactly the rows of the other side that pair with it.  The window frame
 starts at the beginning of the partition, so each partition is read once, and
 a partition holds at most one row per (side, day) of the key.
 """
@@ -68,6 +68,28 @@ def release_to_receipt_delay(releases_v: DataFrame, receipts: DataFrame, lookup:
                  ratio(F.sum("sum_dq"), F.sum("sum_q")).alias("delai_pondere_j")))
 
 
+def _receipts_after(days: DataFrame, receipts: DataFrame, key: list[str]) -> DataFrame:
+    """Per (key, day) of ``days`` with a later receipt: the first and last one's date, and the sums of pieces (sq),
+    amounts (sm) and pieces times time (stq) of all of them.
+
+    Level one adds up by day, combined map-side; level two runs over a key's days only.  A key's lines, which no
+    calendar bounds, meet these sums in an equi-join, which AQE can split where one key holds many lines."""
+    daily = receipts.select(*key, F.unix_date("DateReception").alias("d"), "DateReception",
+                            exact("QuantiteReceptionPiece").alias("q"), exact("MontantReception").alias("m"),
+                            _micros(F.col("DateReception")).alias("t_rec"))
+    timeline = days.withColumn("asked", F.lit(True)).unionByName(daily, allowMissingColumns=True)
+    # Order by -d: "up to 1 before" = receipts on later days.
+    after = Window.partitionBy(*key).orderBy(F.col("_neg_d")).rangeBetween(Window.unboundedPreceding, -1)
+    return (timeline.withColumn("_neg_d", -F.col("d"))
+            .select(*key, "d", "asked",
+                    F.min("DateReception").over(after).alias("first_rec"),
+                    F.max("DateReception").over(after).alias("last_rec"),
+                    F.sum("q").over(after).alias("sq"),
+                    F.sum("m").over(after).alias("sm"),
+                    F.sum(F.col("q") * F.col("t_rec")).over(after).alias("stq"))
+            .where(F.col("asked") & F.col("first_rec").isNotNull()).drop("asked"))
+
+
 LATE_KEYS = [RFC, "IDCommandeAchat", "IDCatalogue", "DateLivraisonAttendue",
              "QuantiteCommandeePiece", "PrixAchatPiece", "MontantAchat"]
 
@@ -85,29 +107,12 @@ def late_deliveries(purchases: DataFrame, receipts: DataFrame, lookup: DataFrame
              .groupBy(*key, *line_cols).agg(F.count(F.lit(1)).alias("n_line")))
     rec = receipts.select(*CAMPAIGN, F.col("IDCommande").alias("IDCommandeAchat"), "IDArticle",
                           "DateReception", "QuantiteReceptionPiece", "MontantReception")
-    # Time axis in microseconds (wall-clock, no time zone); a line waits
-    # until expected + 24 h.
-    t_line = _micros(F.col("DateLivraisonAttendue")) + F.lit(MICROS_PER_DAY)
-    t_rec = _micros(F.col("DateReception"))
-    null_line = [F.lit(None).cast(lines.schema[c].dataType).alias(c) for c in line_cols]
-    timeline = (lines.select(*key, *line_cols, "n_line", t_line.alias("t"),
-                             F.lit(None).cast("date").alias("DateReception"),
-                             F.lit(None).cast(EXACT).alias("q"), F.lit(None).cast(EXACT).alias("m"))
-                .unionByName(rec.select(*key, *null_line, F.lit(None).cast("long").alias("n_line"),
-                                        t_rec.alias("t"), "DateReception",
-                                        exact("QuantiteReceptionPiece").alias("q"),
-                                        exact("MontantReception").alias("m"))))
-    # Order by -t: "up to 1 before" = receipts strictly after the line's limit.
-    after = (Window.partitionBy(*key).orderBy(F.col("_neg_t"))
-             .rangeBetween(Window.unboundedPreceding, -1))
-    per_line = (timeline.withColumn("_neg_t", -F.col("t"))
-                .select(*key, *line_cols, "n_line", "t",
-                        F.min("DateReception").over(after).alias("first_rec"),
-                        F.max("DateReception").over(after).alias("last_rec"),
-                        F.sum("q").over(after).alias("sq"),
-                        F.sum("m").over(after).alias("sm"),
-                        F.sum(F.col("q") * F.col("t")).over(after).alias("stq"))
-                .filter(F.col("n_line").isNotNull() & F.col("first_rec").isNotNull()))
+    # Times in microseconds (wall-clock, no time zone); a line waits until expected + 24 h.  Receipts are dated by the
+    # day, so what a line's receipts add up to depends on its key and on the day its waiting ends.
+    lines = lines.select("*", (_micros(F.col("DateLivraisonAttendue")) + F.lit(MICROS_PER_DAY)).alias("t"),
+                         (F.unix_date(F.col("DateLivraisonAttendue").cast("date")) + 1).alias("d"))
+    sums = _receipts_after(lines.select(*key, "d").distinct(), rec, key)
+    per_line = lines.join(sums, [*key, "d"])
     # lateness of a receipt = t_rec - t_line, so Σ lateness·q = Σ t·q - t_line · Σ q, exact in microseconds
     lateness_q = F.col("n_line") * (F.col("stq") - F.col("t") * F.col("sq"))
     on_ref = per_line.join(lookup, "IDArticle", "left")
