@@ -45,7 +45,8 @@ FIRST_POSITION = MIN_LETTERS // 2
 MASK = 64
 #: Words that a task counts before it hands the counts on.
 HELD_WORDS = 100_000
-_RUN = re.compile("[a-zÀ-ÿ]+")
+#: Runs of too few letters make no word, with or without a letter less.
+_RUN = re.compile("[a-zÀ-ÿ]{%d,}" % MIN_LETTERS)
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,8 +63,6 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             runs = Counter(_RUN.findall(text.as_py().lower().decode("utf-8", "replace")))
             begin = crc32(f"{doc_id}:".encode())
             for run, n in runs.items():
-                if len(run) < MIN_LETTERS:
-                    continue
                 h = crc32(run.encode(), begin)
                 if h % TYPO_EVERY == 0:
                     at = h % len(run)
@@ -121,9 +120,9 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(paths, edges) of (id, word) rows.
 
     Paths have one row per word and direction: id, back, o (the word as spelt there) and path, its nodes that branch
-    or end a word, as (k, node, follow).  Edges have one row per node: node and edges, its (label, child, follow,
-    word), the word being the id of the one that ends at the child; the node's own word stands under an empty label.
-    ``follow`` has a bit for every letter that may come next (letters share bits), so that dead states go at once.
+    or end a word, as (k, node, follow).  Edges have one row per node: node and edges, its (head, body, m, child,
+    follow, word), the label's first letter, its others and its length, and the id of the word that ends at the child;
+    the node's own word stands under an empty label.  ``follow`` has a bit for every letter that may come next (letters share bits), so that dead states go at once.
     """
     passed = words.select("id", "word").mapInArrow(_prefixes, "id long, back boolean, k int, node long, letter int")
     passed = stored(passed)
@@ -144,21 +143,26 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     ends = paths.select(F.element_at("path", -1)["node"].alias("node"), F.lit("").alias("label"),
                         F.lit(None).cast("long").alias("child"), F.lit(0).cast("long").alias("follow"), F.col("id").alias("word"))
     edges = (inner.unionByName(ends).groupBy("node", "label", "child").agg(F.max("follow").alias("follow"), F.max("word").alias("word"))
-             .groupBy("node").agg(F.collect_list(F.struct("label", "child", "follow", "word")).alias("edges")))
+             .groupBy("node").agg(F.collect_list(F.struct(
+                 F.substring("label", 1, 1).alias("head"), F.substring("label", F.lit(2), F.length("label")).alias("body"),
+                 F.length("label").alias("m"), "child", "follow", "word")).alias("edges")))
     return paths, stored(edges)
 
 
 def _moved(states: DataFrame, edges: DataFrame, positions: list[Column]) -> DataFrame:
     """States moved along the edges of their node: every position of ``positions`` that is not null is taken.
 
-    The result has the states that go on and, with a ``near`` word, those that are done.
+    The expressions see the edge and the letters from the state's position on (``rest``), without the first (``rest1``)
+    and without the first two (``rest2``).  The result has the states that go on and, with a ``near`` word, those that
+    are done; a state that no edge can continue is dropped.
     """
     size = F.length("o")
-    open_ = F.expr(f"(shiftright(follow, ascii(substring(o, at + 1, 1)) % {MASK}) & 1L) = 1L")
-    return (states.join(edges, "node").withColumn("e", F.explode("edges"))
-            .select("id", "back", "o", "position", "e.*").withColumn("m", F.length("label"))
+    rests = {name: _piece(F.col("position") + k, size) for k, name in enumerate(("rest", "rest1", "rest2"))}
+    return (states.join(edges, "node").withColumns(rests).withColumn("e", F.explode("edges"))
+            .select("id", "back", "o", "position", *rests, "e.*")
             .withColumn("at", F.explode(F.array_compact(F.array(*positions))))
-            .where(F.when(F.col("at") == size, F.col("word").isNotNull()).otherwise((F.col("at") < size) & open_))
+            .where(F.when(F.col("at") == size, F.col("word").isNotNull()).otherwise(
+                (F.col("at") < size) & F.expr(f"(shiftright(follow, ascii(substring(o, at + 1, 1)) % {MASK}) & 1L) = 1L")))
             .select("id", "back", "o", F.col("at").alias("position"), F.col("child").alias("node"), F.lit(1).alias("edits"),
                     F.when(F.col("at") == size, F.col("word")).alias("near")))
 
@@ -169,13 +173,12 @@ def _edited(paths: DataFrame, edges: DataFrame) -> DataFrame:
     middle = F.floor((size + F.col("back").cast("int")) / 2)
     states = (paths.select("id", "back", "o", F.explode(F.filter("path", lambda p: p["k"] >= middle)).alias("p"))
               .select("id", "back", "o", F.col("p.k").alias("position"), F.col("p.node").alias("node"), F.lit(0).alias("edits")))
-    at, m = F.col("position"), F.col("m")
-    rest = F.substring("label", F.lit(2), m)
-    other = (m > 0) & (F.substring("label", 1, 1) != _piece(at, F.lit(1)))
+    at, m, head, body = (F.col(c) for c in ("position", "m", "head", "body"))
+    other = (m > 0) & ~F.startswith("rest", head)
     return _moved(states, edges, [
-        F.when(other & (at < size) & (_piece(at + 1, m - 1) == rest), at + m),
-        F.when(other & (_piece(at, m - 1) == rest), at + m - 1),
-        F.when((other | (m == 0)) & (at < size) & (_piece(at + 1, m) == F.col("label")), at + m + 1)])
+        F.when(other & (at < size) & F.startswith("rest1", body), at + m),
+        F.when(other & F.startswith("rest", body), at + m - 1),
+        F.when((other | (m == 0)) & (at < size) & F.startswith("rest1", head) & F.startswith("rest2", body), at + m + 1)])
 
 
 def neighbours(words: DataFrame) -> DataFrame:
@@ -183,7 +186,8 @@ def neighbours(words: DataFrame) -> DataFrame:
     paths, edges = trie(words)
     frontier = stored(_edited(paths, edges))
     rounds = [frontier]
-    match = F.when((F.col("m") > 0) & (_piece(F.col("position"), F.col("m")) == F.col("label")), F.col("position") + F.col("m"))
+    match = F.when((F.col("m") > 0) & F.startswith("rest", F.col("head")) & F.startswith("rest1", F.col("body")),
+                   F.col("position") + F.col("m"))
     while True:
         going = rounds[-1].where("near is null")
         if going.isEmpty():
