@@ -140,8 +140,8 @@ def _read_lists(spark: SparkSession, name: str, folder: str, fmt: str, options:
     return reduce(DataFrame.unionByName, rows or [spark.createDataFrame([], schema)]), reduce(DataFrame.unionByName, rejects)
 
 
-def read_domain_tables(spark: SparkSession, root: str, fmt: str = "parquet",
-                       options: dict[str, str] | None = None) -> DomainTables:
+def read_domain_tables(spark: SparkSession, root: str, fmt: str = "parquet", options: dict[str, str] | None = None,
+                       given: dict[str, DataFrame] | None = None) -> DomainTables:
     """Read the nine domain tables from ``root/<name>`` with explicit schemas.
 
     ``fmt`` is any Spark source (parquet, orc, csv, json); CSV needs
@@ -151,12 +151,14 @@ def read_domain_tables(spark: SparkSession, root: str, fmt: str = "parquet",
     of the lists kept by hand (releases, cancellations): one that cannot be
     read, or lacks a column, goes to ``rejects`` with its path and the error; a
     missing folder is an empty list.  These files are opened once when this
-    function runs."""
+    function runs.  Tables that are ``given`` are not read."""
     options = options or {}
     tables, rejected = {}, []
     for name, schema in DOMAIN_SCHEMAS.items():
         path = f"{root.rstrip('/')}/{name}"
-        if name in HAND_KEPT:
+        if given and name in given:
+            tables[name], bad = _split(given[name], name, schema)
+        elif name in HAND_KEPT:
             tables[name], bad = _read_lists(spark, name, path, fmt, options)
         else:
             df = _loaded(lambda: spark.read.format(fmt).options(**options), schema, fmt in ("csv", "json"), path)
@@ -166,10 +168,10 @@ def read_domain_tables(spark: SparkSession, root: str, fmt: str = "parquet",
 
 
 def write_domain_tables(tables: DomainTables, root: str, mode: str = "overwrite",
-                        files: int | None = None) -> None:
-    """Persist domain tables as parquet (used to stage adapter output).
+                        files: int | None = None, only: list[str] | None = None) -> None:
+    """Persist domain tables (or ``only`` some) as parquet (used to stage adapter output).
     ``files`` spreads each table over that many files so scans split evenly."""
-    for name in DOMAIN_SCHEMAS:
+    for name in only or DOMAIN_SCHEMAS:
         df = getattr(tables, name)
         if files:
             df = df.repartition(files)

@@ -8,6 +8,7 @@ import tempfile
 
 import pytest
 from conftest import d, golden_rows
+from orderflow.plans import sink
 from orderflow.plans.dossier import Dossier
 from orderflow.plans.sink import read_dossier, write_dossier
 from orderflow.sources.files import literal_path
@@ -59,7 +60,8 @@ def test_damaged_release_file(spark, how):
         assert sorted(map(str, got.query(key).collect())) == sorted(map(str, want.query(key).collect())), key
 
 
-def test_damaged_file_is_published(spark):
+def test_damaged_file_is_published(spark, monkeypatch):
+    monkeypatch.setattr(sink, "DOSSIER_TABLES", {"parametrage": "campaigns_produced"})
     root, out = written(spark), tempfile.mkdtemp(prefix="published-", dir="/tmp")
     name = damage(f"{root}/cancellations", lambda c: c[:-4])
     write_dossier(Dossier(read_domain_tables(spark, root)), out)
