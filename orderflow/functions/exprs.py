@@ -45,6 +45,11 @@ def ratio(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
+def text_of(df: DataFrame, name: str) -> Column:
+    """A column as text, under its own name; one that is text already keeps its collation."""
+    return F.col(name) if isinstance(df.schema[name].dataType, T.StringType) else F.col(name).cast("string").alias(name)
+
+
 def drop_null_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Drop rows with a null in any key, as a dataframe-library group-by does."""
     return df.dropna(subset=list(keys))

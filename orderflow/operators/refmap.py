@@ -52,10 +52,12 @@ def article_ref_map(article: DataFrame, couleur: DataFrame, article_pack: DataFr
     distinct_rows = pieces.unionByName(packs).distinct()
     grouped = (distinct_rows
                .groupBy("IDArticle", "UniteProduit", "CategorieFEDAS", "ReferenceFournisseur", "QteParPack")
-               .agg(F.expr("listagg(CodeCouleur, '') WITHIN GROUP (ORDER BY CodeCouleur)").alias("CodeCouleur")))
+               .agg(F.expr("listagg(cast(CodeCouleur as string), '') WITHIN GROUP (ORDER BY cast(CodeCouleur as string))").alias("CodeCouleur")))
+    # The joined text is compared as references are (they may have a collation).
+    joined = rfc_of(F.col("ReferenceFournisseur").cast("string"), F.col("CodeCouleur"))
     return grouped.select(
         "IDArticle", "UniteProduit", "ReferenceFournisseur", "CodeCouleur", "QteParPack",
-        rfc_of(F.col("ReferenceFournisseur"), F.col("CodeCouleur")).alias(RFC))
+        joined.cast(article.schema["ReferenceFournisseur"].dataType).alias(RFC))
 
 
 def rfc_lookup(ref_map: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.functions.exprs import CAMPAIGN, RFC, fsum0
+from orderflow.functions.exprs import CAMPAIGN, RFC, fsum0, text_of
 
 
 def purchase_price_by_ref(purchases: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -32,13 +32,13 @@ def _value(flow: DataFrame, prices: DataFrame, qty: str, amount: str) -> DataFra
 def releases_valued(releases: DataFrame, prices: DataFrame) -> DataFrame:
     """Releases at purchase price.  Several prices for one (order, reference)
     duplicate the release row, once per price."""
-    rel = releases.select(*CAMPAIGN, F.col("IDCommande").cast("string").alias("IDCommande"), RFC,
+    rel = releases.select(*CAMPAIGN, text_of(releases, "IDCommande"), RFC,
                           F.to_date("DateDeblocage").alias("DateDeblocage"), "QuantiteDeblocagePiece")
     return _value(rel, prices, "QuantiteDeblocagePiece", "MontantDeblocage")
 
 
 def cancellations_valued(cancellations: DataFrame, prices: DataFrame) -> DataFrame:
-    can = cancellations.select(*CAMPAIGN, F.col("IDCommande").cast("string").alias("IDCommande"), RFC,
+    can = cancellations.select(*CAMPAIGN, text_of(cancellations, "IDCommande"), RFC,
                                "QuantiteAnnulationPiece")
     return _value(can, prices, "QuantiteAnnulationPiece", "MontantAnnulation")
 
@@ -47,7 +47,7 @@ def valued_totals(releases: DataFrame, cancellations: DataFrame, prices: DataFra
     """Pieces and value of releases (``deb_``) and cancellations (``ann_``) per campaign, through one price join;
     null for a family the campaign does not have."""
     def listed(df: DataFrame, kind: str, qty: str) -> DataFrame:
-        return df.select(*CAMPAIGN, F.col("IDCommande").cast("string").alias("IDCommande"), RFC,
+        return df.select(*CAMPAIGN, text_of(df, "IDCommande"), RFC,
                          F.lit(kind).alias("kind"), F.col(qty).alias("q"))
 
     both = listed(releases, "deb", "QuantiteDeblocagePiece").unionByName(

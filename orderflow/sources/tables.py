@@ -25,6 +25,9 @@ CORRUPT = "_corrupt_record"
 REJECTS = "source string, record string"
 #: Lists that are kept by hand: an unreadable file of these is set aside, not an error.
 HAND_KEPT = ("releases", "cancellations")
+#: Text columns that a collation applies to.
+COLLATED = ("IDCommandeAchat", "IDCommandeVente", "IDCommande", "IDArticle", "ReferenceFournisseur", "ReferenceFournisseurCouleur",
+            "CodeM3", "CodeCouleur", "CodePack", "CodeArticle")
 #: Quantities and prices beyond this, infinite ones and NaN are rejected with their row; products of two such values
 #: and sums of thousands of these stay within the exact decimals.
 LARGEST_VALUE = 1e9
@@ -56,6 +59,17 @@ class DomainTables:
             out[name] = df.select(*[F.col(s.name).cast(s.dataType).alias(s.name) for s in schema], *more)
         return DomainTables(**out, rejects=self.rejects)
 
+    def collated(self, collation: str) -> "DomainTables":
+        """Compare ids, references and colours by a collation, e.g. ``UTF8_LCASE_RTRIM`` (neither case nor trailing
+        blanks count) where the source database does.  Joins, groups and windows follow it; the spelling that an
+        output shows is one of those that are equal.  Campaign keys stay as they are."""
+        out = {}
+        for name, schema in DOMAIN_SCHEMAS.items():
+            df = getattr(self, name)
+            if any(f.name in COLLATED for f in schema):
+                out[name] = df.select(*[F.collate(F.col(c), collation).alias(c) if c in COLLATED else F.col(c) for c in df.columns])
+        return replace(self, **out)
+
     def guard(self) -> "DomainTables":
         """Move rows with a number that exact sums cannot hold (NaN, infinite, beyond ``LARGEST_VALUE``) to the
         rejects, so that one such row stops neither its own campaign nor another."""
