@@ -198,7 +198,7 @@ def neighbours(words: DataFrame) -> DataFrame:
         found = found.unionByName(later.where("near is not null"))
     pairs = found.select("id", "near", F.when(F.col("back"), F.reverse("o")).otherwise(F.col("o")).alias("word")).distinct()
     named = words.select(F.col("id").alias("near"), F.col("word").alias("near_word"), F.col("n").alias("near_n"))
-    return pairs.join(named, "near").where(F.levenshtein("word", "near_word") == 1).select("id", "near", "near_word", "near_n")
+    return pairs.join(named, "near").where(F.levenshtein("word", "near_word", 1) == 1).select("id", "near", "near_word", "near_n")
 
 
 def _roots(links: DataFrame) -> DataFrame:
