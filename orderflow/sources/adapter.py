@@ -13,8 +13,9 @@ lineitem row joined to its order, customer, nation and region:
   that is not cancelled (one day, or two for taxed lines), cancellations of
   returned open lines.
 
-Each domain table is its own narrow projection of the source tables: only the
-joins and columns it needs, so filters and column lists reach the scans.
+Lines are joined to their orders once and stored, as are the campaigns and the
+references of articles, which several tables start from.  Each domain table is
+its own narrow projection of these: filters and column lists reach the scans.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.operators.refmap import article_ref_map, rfc_lookup
+from orderflow.session import bounded_tasks, stored
 from orderflow.sources.tables import DomainTables
 
 TPCH_TABLES = ["region", "nation", "customer", "part", "orders", "lineitem"]
@@ -48,17 +50,34 @@ def _cancelled() -> Column:
     return (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
 
 
-def domain_from_tpch(spark: SparkSession, sf_dir: str) -> DomainTables:
-    """Domain tables derived from the test tables of ``sf_dir`` (lazy)."""
+def _dated_lines(t: dict[str, DataFrame]) -> DataFrame:
+    """Lines with the day of their order and ``_customers``, the customers of that order (null without one).
+
+    Customers are gathered by key and meet the orders, the smaller table: a line is dealt out once, by its order."""
+    customers = (t["customer"].where("c_custkey is not null").groupBy("c_custkey")
+                 .agg(F.collect_list(F.struct("c_nationkey")).alias("_customers")))
+    orders = (t["orders"].select("o_orderkey", "o_custkey", "o_orderdate").where("o_orderkey is not null")
+              .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", "o_orderdate", "_customers"))
+    return (t["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_tax",
+                                 "l_returnflag", "l_linestatus")
+            .join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey"))
+
+
+def domain_from_tpch(spark: SparkSession, sf_dir: str, store: bool = True) -> DomainTables:
+    """Domain tables derived from the test tables of ``sf_dir``.
+
+    Lazy but for three tables that are written to the checkpoint folder (unless not ``store``): the dated lines, the
+    campaigns and the articles' references."""
+    bounded_tasks(spark)
     t = read_tpch(spark, sf_dir)
-    line = t["lineitem"]
+    keep = stored if store else lambda df: df
     od = F.to_date("o_orderdate")
     lag = ((F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13) % 60).cast("int")
     art, po, so = _id("A", "l_partkey"), _id("PO", "l_orderkey"), _id("SO", "l_orderkey")
     unit = unit_price(F.col("l_extendedprice"), F.col("l_quantity"))
     status = F.when(_cancelled(), F.lit(99)).otherwise(F.lit(10))
-    dated = line.join(t["orders"].select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
-    placed = dated.join(t["customer"].select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    dated = keep(_dated_lines(t))
+    placed = dated.withColumn("_customer", F.explode("_customers")).select("*", "_customer.c_nationkey")
     cat = (F.col("c_nationkey") * 10000 + F.year("o_orderdate")).cast("int")
     brand = (t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
              .select(F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("Marque")))
@@ -101,7 +120,7 @@ def domain_from_tpch(spark: SparkSession, sf_dir: str) -> DomainTables:
                  .unionByName(movement(31, so, shipped, -F.col("l_quantity"), unit, F.col("l_returnflag") == "A"))
                  .unionByName(movement(40, po, od, F.col("l_quantity"), F.lit(0), F.col("l_returnflag") == "N")))
 
-    lookup = rfc_lookup(article_ref_map(article, couleur, article_pack))
+    lookup = keep(rfc_lookup(article_ref_map(article, couleur, article_pack)))
     on_ref = campaign.withColumn("IDArticle", art).join(lookup, "IDArticle", "left")
     first = F.date_add(od, (F.col("l_orderkey") % 28).cast("int"))
     twice = F.col("l_tax") >= F.lit(TWO_RELEASES_TAX)
@@ -112,7 +131,7 @@ def domain_from_tpch(spark: SparkSession, sf_dir: str) -> DomainTables:
     cancellations = (on_ref.filter((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O"))
                      .select("Marque", "Saison", po.alias("IDCommande"), "ReferenceFournisseurCouleur",
                              F.col("l_linenumber").cast("double").alias("QuantiteAnnulationPiece")))
-    campaigns = campaign.select("Marque", "Saison", cat.alias("IDCatalogue")).distinct()
+    campaigns = keep(campaign.select("Marque", "Saison", cat.alias("IDCatalogue")).distinct())
     return DomainTables(campaigns=campaigns, commande_achat=commande_achat, commande_vente=commande_vente,
                         mouvement=mouvement, article=article, couleur=couleur, article_pack=article_pack,
                         releases=releases, cancellations=cancellations).conformed()
