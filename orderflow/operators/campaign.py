@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.functions.exprs import CAMPAIGN, EXACT, RFC, fsum0
+from orderflow.functions.exprs import CAMPAIGN, EXACT, RFC, SUMMED, fsum
 
 FLAG_KINDS = ["purchase", "release", "cancellation", "receipt", "shipment",
               "release_ref", "receipt_ref", "shipment_ref"]
@@ -28,14 +28,16 @@ TOTAL_NAMES = {"purchase": ("qte_achat_tot", "montant_achat_tot"), "receipt": ("
 
 
 def _branch(df: DataFrame, family: str, on_reference: Column | None) -> DataFrame:
-    """One family's rows with the columns of all: its flags and, where it has totals, its values."""
-    flags = {family: F.lit(True), f"{family}_ref": on_reference}
-    out = [F.coalesce(flags.get(k), F.lit(False)).alias(k) if flags.get(k) is not None else F.lit(False).alias(k)
-           for k in FLAG_KINDS]
-    for fam, (qty, amount) in TOTAL_COLUMNS.items():
-        for name, column in zip(TOTAL_NAMES[fam], (qty, amount)):
-            out.append((F.col(column) if fam == family else F.lit(None)).cast(EXACT).alias(name))
-    return df.select(*CAMPAIGN, *out)
+    """One family's flags and, where it has totals, its sums, per campaign, with the columns of all families.
+
+    A family adds up its own columns only, so a row costs no sums of the others' nulls."""
+    own = {family: F.lit(True), **({} if on_reference is None else {f"{family}_ref": F.max(on_reference)})}
+    names = dict(zip(TOTAL_NAMES.get(family, ()), TOTAL_COLUMNS.get(family, ())))
+    summed = df.groupBy(*CAMPAIGN).agg(*[F.max(c).alias(k) if k == family else c.alias(k) for k, c in own.items()],
+                                       *[fsum(c).alias(n) for n, c in names.items()])
+    flags = [F.coalesce(F.col(k), F.lit(False)).alias(k) if k in own else F.lit(False).alias(k) for k in FLAG_KINDS]
+    sums = [F.col(n) if n in names else F.lit(None).cast(SUMMED).alias(n) for pair in TOTAL_NAMES.values() for n in pair]
+    return summed.select(*CAMPAIGN, *flags, *sums)
 
 
 def campaign_facts(campaigns: DataFrame, purchases: DataFrame, releases: DataFrame, cancellations: DataFrame,
@@ -44,7 +46,7 @@ def campaign_facts(campaigns: DataFrame, purchases: DataFrame, releases: DataFra
 
     Releases and cancellations are taken as listed: valuing them is a left
     join, which never removes a row, so the flags need no prices.  Each family
-    is read once; the group-by on the campaign key is combined map-side, so
+    is read once; the group-bys on the campaign key are combined map-side, so
     only (partitions x campaigns) rows are shuffled."""
     on_ref = lookup.where(F.col(RFC).isNotNull()).select("IDArticle", F.lit(True).alias("_ref")).distinct()
     ref = F.col("_ref").isNotNull()
@@ -60,7 +62,7 @@ def campaign_facts(campaigns: DataFrame, purchases: DataFrame, releases: DataFra
         union = union.unionByName(part)
     names = [n for pair in TOTAL_NAMES.values() for n in pair]
     found = union.groupBy(*CAMPAIGN).agg(*[F.max(k).alias("has_" + k) for k in FLAG_KINDS],
-                                         *[fsum0(n).alias(n) for n in names])
+                                         *[F.sum(n).alias(n) for n in names])
     listed = (campaigns.dropna(subset=CAMPAIGN).groupBy(*CAMPAIGN)
               .agg(F.max(F.col("IDCatalogue").isNotNull()).alias("_catalogue")))
     out = listed.join(found, CAMPAIGN, "left").select(

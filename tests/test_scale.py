@@ -1,0 +1,83 @@
+"""What keeps the dossier in proportion to its tables: joins made once, small tasks, sums of a row's own columns."""
+
+import tempfile
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from conftest import golden_rows
+from orderflow.operators import byref
+from orderflow.plans.dossier import ExactDossier
+from orderflow.session import TASK_SIZES, bounded_tasks
+from orderflow.sources.adapter import domain_from_tpch
+from orderflow.sources.tables import tables_from_rows
+from test_plans_invariants import plan_text
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_lines_meet_their_orders_once(spark):
+    """The tables of order lines start from stored lines; none joins lines with orders and customers again."""
+    tables = domain_from_tpch(spark, SF)
+    for name in ("campaigns", "commande_achat", "commande_vente", "mouvement", "releases", "cancellations"):
+        text = plan_text(getattr(tables, name))
+        assert not any(f"{table}.parquet" in text for table in ("lineitem", "orders", "customer")), (name, text)
+
+
+def test_repeated_and_missing_customers(spark):
+    """A line counts once for every order of its key, order lines also once for every customer of these."""
+    root = tempfile.mkdtemp(prefix="tpch-", dir="/tmp")
+    day = datetime(1996, 3, 1)
+
+    def put(name, rows, schema):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{root}/{name}.parquet")
+
+    put("region", [(0, "ASIA")], "r_regionkey int, r_name string")
+    put("nation", [(1, 0), (2, 0)], "n_nationkey int, n_regionkey int")
+    # Customer 7 twice, one of them without a nation; 8 is unknown; a null key matches nothing.
+    put("customer", [(7, 1), (7, None), (None, 2)], "c_custkey long, c_nationkey int")
+    put("part", [(1, "Brand#1", "SMALL")], "p_partkey long, p_brand string, p_type string")
+    put("orders", [(1, 7, day), (1, 7, day), (2, 8, day), (3, None, day), (None, 7, day)], "o_orderkey long, o_custkey long, o_orderdate timestamp")
+    put("lineitem", [(k, 1, 1, 2.0, 10.0, 0.0, "A", "F") for k in (1, 2, 3, None)],
+        "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_tax double, "
+        "l_returnflag string, l_linestatus string")
+    for store in (True, False):
+        t = domain_from_tpch(spark, root, store)
+        assert sorted((r.IDCommandeAchat, r.IDCatalogue) for r in t.commande_achat.na.fill(-1).collect()) == [
+            ("PO1", -1), ("PO1", -1), ("PO1", 11996), ("PO1", 11996)]
+        assert sorted(r.IDCommande for r in t.mouvement.where("IDTypeMouvement = 25").collect()) == ["PO1", "PO1", "PO2", "PO3"]
+        assert t.releases.count() == 2 and [tuple(r) for r in t.campaigns.collect()] == [("ASIA", "1996", 11996)]
+
+
+def test_task_sizes(spark):
+    """Sizes are set where the session has none, and kept where it has."""
+    session = spark.newSession()
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    for key in TASK_SIZES:
+        session.conf.unset(key)
+    bounded_tasks(session)
+    assert session.conf.get(advisory) == "16m" and session.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
+    session.conf.set(advisory, "5m")
+    bounded_tasks(session)
+    assert session.conf.get(advisory) == "5m"
+
+
+def test_flows_add_up_two_columns(spark):
+    """Before rows are put side by side, a row updates its own family's two sums."""
+    exact = ExactDossier(tables_from_rows(spark, **golden_rows()))
+    text = plan_text(byref.flows_wide({"release": exact.releases_valued}))
+    partial = [line for line in text.splitlines() if "partial_sum" in line]
+    assert partial and all(line.count("partial_sum(") == 2 for line in partial), partial
+
+
+def test_flows_read_stored_movements(spark):
+    """Receipts and shipments are joined with their orders once, for the facts, and not for the flows again."""
+    exact = ExactDossier(domain_from_tpch(spark, SF))
+    exact.facts, exact._receipts_all
+    text = plan_text(exact.scoped(exact._receipts_all))
+    assert "IDTypeMouvement" not in text and "l_linestatus" not in text
+    # The same rows as the query's own.
+    keys = ["IDCommande", "IDArticle", "DateReception", "QuantiteReceptionPiece", "MontantReception"]
+    a, b = exact.scoped(exact._receipts_all).select(*keys), exact.receipts_daily.select(*keys)
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert exact._flows.where(F.col("DateReception").isNotNull()).count() == exact.receipts_by_ref_date.count()
