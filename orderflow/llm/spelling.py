@@ -9,8 +9,10 @@ leaves the path, the word may differ from its neighbour there: replacing, insert
 state with one edit, which then has to match letter by letter.  These states are joined with the edge table level by
 level until none is left; one that has used up its word at the end of another word has found a neighbour.  The place
 of an edit is the first letter in which two words differ.  If it lies in the front half, the backward trie has it in
-its own rear half, so either trie is entered from the middle of a word on only, where its nodes have few edges, and
-together they miss nothing.
+its own rear half, so either trie is entered from the middle of a word on only, and together they miss nothing.  As
+neighbours differ by at most one in length, a word stands in either trie from just before its own middle on only:
+nodes near the root hold short words alone and have few edges.  Every edge has a Bloom mask of the letters that still
+follow its child, up to the end of a word; a state that these cannot continue is dropped when it is made.
 
 The form of a word is its most frequent neighbour (ties: smallest in code point order) if that is at least ``RATIO``
 times as frequent; following forms to the last gives the root.  Frequencies at least double at each step, so the
@@ -39,9 +41,7 @@ from orderflow.llm.common import bounded_batches, stored, text_bytes
 MIN_LETTERS, MIN_COUNT, RATIO = 5, 3, 2
 #: One run in this many, by checksum, loses a letter.
 TYPO_EVERY = 97
-#: No word is entered before this position, as none is shorter than ``MIN_LETTERS``.
-FIRST_POSITION = MIN_LETTERS // 2
-#: Bits that tell which letters follow a node.
+#: Bits that tell which ends of words follow a node.
 MASK = 64
 #: Words that a task counts before it hands the counts on.
 HELD_WORDS = 100_000
@@ -82,6 +82,11 @@ def words_of(docs: DataFrame, least: int = MIN_COUNT) -> DataFrame:
             .groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
 
 
+def _middle(size: np.ndarray, back: bool) -> np.ndarray:
+    """The first position at which words of these sizes enter the forward or the backward trie."""
+    return (size + back) // 2
+
+
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, back, k, node, letter): the node that a word passes after k letters, and the letter that follows (0: none)."""
     for batch in batches:
@@ -96,9 +101,10 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             with np.errstate(over="ignore"):
                 powers = np.cumprod(np.full(int(sizes.max()), 0x9E3779B97F4A7C15, np.uint64))
                 total = np.concatenate([[np.uint64(0)], np.cumsum((codes * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1)) * powers[place])])
-                # The row after a word's last letter is its end; rows before FIRST_POSITION are never entered.
-                rows = np.maximum(sizes - FIRST_POSITION + 1, 0)
-                k = np.arange(rows.sum()) - np.repeat(np.cumsum(rows) - rows, rows) + FIRST_POSITION
+                # The row after a word's last letter is its end; no neighbour enters before its own middle.
+                first = _middle(np.maximum(sizes - 1, 0), back)
+                rows = sizes - first + 1
+                k = np.arange(rows.sum()) - np.repeat(np.cumsum(rows) - rows - first, rows)
                 own = np.repeat(np.arange(len(words)), rows)
                 node = total[begin[own] + k] - total[begin[own]] + np.uint64(back) * np.uint64(0xA0761D6478BD642F) + k.astype(np.uint64)
                 for shift in (32, 29):
@@ -116,33 +122,39 @@ def _piece(begin: Column, size: Column) -> Column:
     return F.substring(F.col("o"), begin + 1, size)
 
 
+def _end_bit(begin: Column) -> Column:
+    """The bit of a mask that stands for the letters of the word ``o`` from a position on."""
+    return F.pmod(F.xxhash64(_piece(begin, F.length("o"))), F.lit(MASK)).cast("int")
+
+
 def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(paths, edges) of (id, word) rows.
 
     Paths have one row per word and direction: id, back, o (the word as spelt there) and path, its nodes that branch
-    or end a word, as (k, node, follow).  Edges have one row per node: node and edges, its (head, body, m, child,
-    follow, word), the label's first letter, its others and its length, and the id of the word that ends at the child;
-    the node's own word stands under an empty label.  ``follow`` has a bit for every letter that may come next (letters share bits), so that dead states go at once.
+    or end a word, as (k, node).  Edges have one row per node: node and edges, its (head, body, m, child, follow, word),
+    the label's first letter, its others and its length, and the id of the word that ends at the child; the node's own
+    word stands under an empty label.  ``follow`` has a bit for every end of a word behind the child (ends share bits),
+    so that dead states go at once.
     """
     passed = words.select("id", "word").mapInArrow(_prefixes, "id long, back boolean, k int, node long, letter int")
     passed = stored(passed)
-    follow = F.bit_or(F.when(F.col("letter") > 0, F.expr(f"shiftleft(1L, letter % {MASK})")).otherwise(F.lit(0).cast("long")))
-    branching = (passed.groupBy("node").agg(F.min("letter").alias("a"), F.max("letter").alias("b"), follow.alias("follow"))
+    branching = (passed.groupBy("node").agg(F.min("letter").alias("a"), F.max("letter").alias("b"))
                  .where("a = 0 or a < b"))
-    paths = (passed.join(branching.select("node", "follow"), "node")
-             .groupBy("id", "back").agg(F.sort_array(F.collect_list(F.struct("k", "node", "follow"))).alias("path"))
+    paths = (passed.join(branching.select("node"), "node")
+             .groupBy("id", "back").agg(F.sort_array(F.collect_list(F.struct("k", "node"))).alias("path"))
              .join(words.select("id", "word"), "id")
              .select("id", "back", F.when(F.col("back"), F.reverse("word")).otherwise(F.col("word")).alias("o"), "path"))
     paths = stored(paths)
     step = F.zip_with(F.slice("path", F.lit(1), F.size("path") - 1), F.slice("path", F.lit(2), F.size("path")),
                       lambda a, b: F.struct(a["node"].alias("node"), a["k"].alias("k"), b["node"].alias("child"),
-                                            b["k"].alias("to"), b["follow"].alias("follow")))
+                                            b["k"].alias("to")))
     inner = (paths.select("id", "o", F.explode(step).alias("s")).select("id", "o", "s.*")
-             .select("node", _piece(F.col("k"), F.col("to") - F.col("k")).alias("label"), "child", "follow",
+             .select("node", _piece(F.col("k"), F.col("to") - F.col("k")).alias("label"), "child",
+                     F.call_function("shiftleft", F.lit(1).cast("long"), _end_bit(F.col("to"))).alias("follow"),
                      F.when(F.col("to") == F.length("o"), F.col("id")).alias("word")))
     ends = paths.select(F.element_at("path", -1)["node"].alias("node"), F.lit("").alias("label"),
                         F.lit(None).cast("long").alias("child"), F.lit(0).cast("long").alias("follow"), F.col("id").alias("word"))
-    edges = (inner.unionByName(ends).groupBy("node", "label", "child").agg(F.max("follow").alias("follow"), F.max("word").alias("word"))
+    edges = (inner.unionByName(ends).groupBy("node", "label", "child").agg(F.bit_or("follow").alias("follow"), F.max("word").alias("word"))
              .groupBy("node").agg(F.collect_list(F.struct(
                  F.substring("label", 1, 1).alias("head"), F.substring("label", F.lit(2), F.length("label")).alias("body"),
                  F.length("label").alias("m"), "child", "follow", "word")).alias("edges")))
@@ -158,11 +170,13 @@ def _moved(states: DataFrame, edges: DataFrame, positions: list[Column]) -> Data
     """
     size = F.length("o")
     rests = {name: _piece(F.col("position") + k, size) for k, name in enumerate(("rest", "rest1", "rest2"))}
+    # Most edges take no state on: these rows go before an array is made.
     return (states.join(edges, "node").withColumns(rests).withColumn("e", F.explode("edges"))
             .select("id", "back", "o", "position", *rests, "e.*")
-            .withColumn("at", F.explode(F.array_compact(F.array(*positions))))
+            .where(F.coalesce(*positions).isNotNull())
+            .withColumn("at", F.explode(F.array(*positions)))
             .where(F.when(F.col("at") == size, F.col("word").isNotNull()).otherwise(
-                (F.col("at") < size) & F.expr(f"(shiftright(follow, ascii(substring(o, at + 1, 1)) % {MASK}) & 1L) = 1L")))
+                (F.col("at") < size) & (F.getbit("follow", _end_bit(F.col("at"))) == 1)))
             .select("id", "back", "o", F.col("at").alias("position"), F.col("child").alias("node"), F.lit(1).alias("edits"),
                     F.when(F.col("at") == size, F.col("word")).alias("near")))
 

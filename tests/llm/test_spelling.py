@@ -106,3 +106,25 @@ def test_counts_are_handed_on(spark, monkeypatch):
             run = run[:h % 6] + run[h % 6 + 1:] if h % 97 == 0 else run
             want[run] += len(run) >= 5
     assert dict(total) == dict(want)
+
+
+def ided(spark, counts):
+    return m.stored(spark.createDataFrame([(k, w, n) for k, (w, n) in enumerate(counts.items())], "id long, word string, n long"))
+
+
+def test_trie_holds_words_from_before_their_middle_on(spark):
+    """Nodes near the root hold short words alone, however many long ones begin alike; every pair is still found."""
+    counts = {"ab" + w: n for w, n in random_words(4, "abcd", 3, 20, 300).items()}
+    words = ided(spark, counts)
+    paths, _ = m.trie(words)
+    got = [(len(r.o), r.back, [p.k for p in r.path]) for r in paths.collect()]
+    assert len(got) == 2 * len(counts)
+    assert all(size == ks[-1] and ks[0] >= (size - 1 + back) // 2 for size, back, ks in got)
+    near = {(r.id, r.near_word) for r in m.neighbours(words).collect()}
+    assert near == {(k, x) for k, w in enumerate(counts) for x in counts if distance_one(w, x)}
+
+
+def test_states_that_no_word_ends_are_not_made(spark):
+    """Of four letters the next one fits often, all that follow it hardly ever (by the next letter alone: 1293 states)."""
+    words = ided(spark, random_words(3, "abcd", 7, 8, 600))
+    assert m._edited(*m.trie(words)).where("near is null").count() <= 300
