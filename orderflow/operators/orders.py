@@ -59,12 +59,15 @@ def sales_order_keys(sales: DataFrame) -> DataFrame:
     return sales.select(*CAMPAIGN, "IDCommandeVente").dropna().distinct()
 
 
-def _movements_of(mouvement: DataFrame, kind: int, order_keys: DataFrame, order_col: str) -> DataFrame:
+def _movements_of(mouvement: DataFrame, kind: int, article: DataFrame, order_keys: DataFrame, order_col: str) -> DataFrame:
     """Movements of one type whose order belongs to a campaign (semi-join that
-    also attaches the campaign key; an order in two campaigns counts in both)."""
+    also attaches the campaign key; an order in two campaigns counts in both),
+    with their pack sizes.  The order comes last: rows stay dealt out by it,
+    and a group-by that holds the order needs no shuffle of its own."""
     keys = order_keys.withColumnRenamed(order_col, "IDCommande")
     return (mouvement.filter(F.col("IDTypeMouvement") == F.lit(kind))
             .select("IDCommande", "IDArticle", "DateMouvement", "QuantiteMouvement", "CAMVMvt")
+            .join(pack_sizes(article), "IDArticle", "left")
             .join(keys, "IDCommande"))
 
 
@@ -74,8 +77,7 @@ RECEIPT_KEYS = [*CAMPAIGN, "IDCommande", "IDArticle", "DateReception"]
 def receipt_rows(mouvement: DataFrame, po_keys: DataFrame, article: DataFrame) -> DataFrame:
     """Receipt movements of the campaign purchase orders, in pieces, one row
     per movement; rows with a null order, article or day are dropped."""
-    rows = (_movements_of(mouvement, RECEIPT_MOVEMENT, po_keys, "IDCommandeAchat")
-            .join(pack_sizes(article), "IDArticle", "left")
+    rows = (_movements_of(mouvement, RECEIPT_MOVEMENT, article, po_keys, "IDCommandeAchat")
             .select(*CAMPAIGN, "IDCommande", "IDArticle",
                     F.to_date("DateMouvement").alias("DateReception"),
                     (F.col("QuantiteMouvement") * F.col("QteParPack")).alias("QuantiteReceptionPiece"),
@@ -93,8 +95,7 @@ def receipts_daily(rows: DataFrame) -> DataFrame:
 def shipments(mouvement: DataFrame, so_keys: DataFrame, article: DataFrame) -> DataFrame:
     """Shipments to shops of the campaign sales orders, one row per movement,
     sign flipped to positive pieces and amounts; undated rows are kept."""
-    return (_movements_of(mouvement, SHIPMENT_MOVEMENT, so_keys, "IDCommandeVente")
-            .join(pack_sizes(article), "IDArticle", "left")
+    return (_movements_of(mouvement, SHIPMENT_MOVEMENT, article, so_keys, "IDCommandeVente")
             .select(*CAMPAIGN, "IDCommande", "IDArticle",
                     F.to_date("DateMouvement").alias("DateExpedition"),
                     (-F.col("QuantiteMouvement") * F.col("QteParPack")).alias("QuantiteExpeditionPiece"),

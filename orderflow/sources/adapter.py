@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderflow.functions.exprs import RFC
 from orderflow.operators.refmap import article_ref_map, rfc_lookup
 from orderflow.session import bounded_tasks, stored
 from orderflow.sources.tables import DomainTables
@@ -50,24 +51,29 @@ def _cancelled() -> Column:
     return (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
 
 
-def _dated_lines(t: dict[str, DataFrame]) -> DataFrame:
-    """Lines with the day of their order and ``_customers``, the customers of that order (null without one).
+def _dated_lines(t: dict[str, DataFrame], lookup: DataFrame) -> DataFrame:
+    """Lines with ``_references``, the references of their article, the day of their order and ``_customers``, the
+    customers of that order (null without one).
 
-    Customers are gathered by key and meet the orders, the smaller table: a line is dealt out once, by its order."""
+    Customers are gathered by key and meet the orders, the smaller table: a line is dealt out once by its article, so
+    that the lists of releases and cancellations need not do it again, and once by its order."""
+    references = lookup.where("IDArticle is not null").groupBy("IDArticle").agg(F.collect_list(F.struct(RFC)).alias("_references"))
     customers = (t["customer"].where("c_custkey is not null").groupBy("c_custkey")
                  .agg(F.collect_list(F.struct("c_nationkey")).alias("_customers")))
     orders = (t["orders"].select("o_orderkey", "o_custkey", "o_orderdate").where("o_orderkey is not null")
               .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", "o_orderdate", "_customers"))
     return (t["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_tax",
                                  "l_returnflag", "l_linestatus")
+            .join(references, _id("A", "l_partkey") == F.col("IDArticle"), "left").drop("IDArticle")
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey"))
 
 
 def domain_from_tpch(spark: SparkSession, sf_dir: str, store: bool = True) -> DomainTables:
     """Domain tables derived from the test tables of ``sf_dir``.
 
-    Lazy but for three tables that are written to the checkpoint folder (unless not ``store``): the dated lines, the
-    campaigns and the articles' references."""
+    Lazy but for four tables that are written to the checkpoint folder (unless not ``store``): the articles' references,
+    the dated lines, the brands of nations (stored, they are known to be few and no line is dealt out for them) and the
+    campaigns."""
     bounded_tasks(spark)
     t = read_tpch(spark, sf_dir)
     keep = stored if store else lambda df: df
@@ -76,13 +82,6 @@ def domain_from_tpch(spark: SparkSession, sf_dir: str, store: bool = True) -> Do
     art, po, so = _id("A", "l_partkey"), _id("PO", "l_orderkey"), _id("SO", "l_orderkey")
     unit = unit_price(F.col("l_extendedprice"), F.col("l_quantity"))
     status = F.when(_cancelled(), F.lit(99)).otherwise(F.lit(10))
-    dated = keep(_dated_lines(t))
-    placed = dated.withColumn("_customer", F.explode("_customers")).select("*", "_customer.c_nationkey")
-    cat = (F.col("c_nationkey") * 10000 + F.year("o_orderdate")).cast("int")
-    brand = (t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
-             .select(F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("Marque")))
-    campaign = placed.join(brand, "c_nationkey").withColumn("Saison", F.year("o_orderdate").cast("string"))
-
     part, pk = t["part"], F.col("p_partkey")
     is_pack = pk % 10 == 0
     article = part.select(
@@ -99,6 +98,13 @@ def domain_from_tpch(spark: SparkSession, sf_dir: str, store: bool = True) -> Do
     couleur = (part.filter(pk % 3 != 0)
                .select(_id("A", "p_partkey").alias("CodeM3"), F.col("p_type").alias("CodeCouleur")))
 
+    dated = keep(_dated_lines(t, keep(rfc_lookup(article_ref_map(article, couleur, article_pack)))))
+    placed = dated.withColumn("_customer", F.explode("_customers")).select("*", "_customer.c_nationkey")
+    cat = (F.col("c_nationkey") * 10000 + F.year("o_orderdate")).cast("int")
+    brand = keep(t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+                 .select(F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("Marque")))
+    campaign = placed.join(brand, "c_nationkey").withColumn("Saison", F.year("o_orderdate").cast("string"))
+
     commande_achat = placed.select(
         po.alias("IDCommandeAchat"), cat.alias("IDCatalogue"), art.alias("IDArticle"),
         F.date_add(od, 20).cast("timestamp_ntz").alias("DateLivraisonAttendue"),
@@ -120,8 +126,7 @@ def domain_from_tpch(spark: SparkSession, sf_dir: str, store: bool = True) -> Do
                  .unionByName(movement(31, so, shipped, -F.col("l_quantity"), unit, F.col("l_returnflag") == "A"))
                  .unionByName(movement(40, po, od, F.col("l_quantity"), F.lit(0), F.col("l_returnflag") == "N")))
 
-    lookup = keep(rfc_lookup(article_ref_map(article, couleur, article_pack)))
-    on_ref = campaign.withColumn("IDArticle", art).join(lookup, "IDArticle", "left")
+    on_ref = campaign.withColumn("_reference", F.explode_outer("_references")).select("*", F.col(f"_reference.{RFC}"))
     first = F.date_add(od, (F.col("l_orderkey") % 28).cast("int"))
     twice = F.col("l_tax") >= F.lit(TWO_RELEASES_TAX)
     releases = (on_ref.filter(~_cancelled())
