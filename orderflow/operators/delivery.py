@@ -34,9 +34,13 @@ def _day_number(c: str) -> F.Column:
 def release_to_receipt_delay(releases_v: DataFrame, receipts: DataFrame, lookup: DataFrame) -> DataFrame:
     """Mean and receipt-weighted mean delay, in days, from a release to the
     receipts of the same order and reference, minus one day; only pairs with a
-    positive delay count (receipt at least two days after the release)."""
+    positive delay count (receipt at least two days after the release).
+
+    Both sides are dealt out by the key once: receipts before they are added
+    up, releases (``on_reference``) by the join that values them."""
     key = [*CAMPAIGN, "IDCommande", RFC]
     rec = (drop_null_keys(receipts.join(lookup, "IDArticle", "left"), [*key, "DateReception"])
+           .select(*key, "DateReception", "QuantiteReceptionPiece").repartition(*key)
            .groupBy(*key, "DateReception")
            .agg(exact(fsum0("QuantiteReceptionPiece")).alias("q")))
     rel = (drop_null_keys(releases_v, [*key, "DateDeblocage"])

@@ -17,24 +17,30 @@ def purchase_price_by_ref(purchases: DataFrame, lookup: DataFrame) -> DataFrame:
             .distinct())
 
 
-def _value(flow: DataFrame, prices: DataFrame, qty: str, amount: str) -> DataFrame:
+def _value(flow: DataFrame, prices: DataFrame, qty: str, amount: str, on_reference: bool = False) -> DataFrame:
     """Left join a release/cancellation list to prices on (campaign, order,
-    reference); a null reference matches a null reference."""
+    reference); a null reference matches a null reference.  ``on_reference``
+    keeps the rows with a reference only: joined on the key as it stands, they
+    stay dealt out by it."""
+    if on_reference:
+        flow = flow.where(F.col(RFC).isNotNull())
     p = prices.select(*[F.col(c).alias("_p_" + c) for c in CAMPAIGN],
                       "IDCommandeAchat", F.col(RFC).alias("_p_rfc"), "PrixAchatPiece")
     cond = [flow[c] == p["_p_" + c] for c in CAMPAIGN]
-    cond += [flow["IDCommande"] == p["IDCommandeAchat"], flow[RFC].eqNullSafe(p["_p_rfc"])]
+    same = flow[RFC] == p["_p_rfc"] if on_reference else flow[RFC].eqNullSafe(p["_p_rfc"])
+    cond += [flow["IDCommande"] == p["IDCommandeAchat"], same]
     out = flow.join(p, cond, "left")
     return out.select(*flow.columns, "IDCommandeAchat", "PrixAchatPiece",
                       (F.col(qty) * F.col("PrixAchatPiece")).alias(amount))
 
 
-def releases_valued(releases: DataFrame, prices: DataFrame) -> DataFrame:
-    """Releases at purchase price.  Several prices for one (order, reference)
-    duplicate the release row, once per price."""
+def releases_valued(releases: DataFrame, prices: DataFrame, on_reference: bool = False) -> DataFrame:
+    """Releases at purchase price (``on_reference``: those with a reference).
+    Several prices for one (order, reference) duplicate the release row, once
+    per price."""
     rel = releases.select(*CAMPAIGN, text_of(releases, "IDCommande"), RFC,
                           F.to_date("DateDeblocage").alias("DateDeblocage"), "QuantiteDeblocagePiece")
-    return _value(rel, prices, "QuantiteDeblocagePiece", "MontantDeblocage")
+    return _value(rel, prices, "QuantiteDeblocagePiece", "MontantDeblocage", on_reference)
 
 
 def cancellations_valued(cancellations: DataFrame, prices: DataFrame) -> DataFrame:

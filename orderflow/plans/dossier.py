@@ -319,7 +319,8 @@ class ExactDossier:
     # ---- delay, lateness, details ----------------------------------------
     @cached_property
     def release_to_receipt_delay(self) -> DataFrame:
-        return delivery.release_to_receipt_delay(self.releases_valued, self.receipts_daily, self.lookup)
+        releases = valuation.releases_valued(self.scoped(self.t.releases), self.purchase_price_by_ref, on_reference=True)
+        return delivery.release_to_receipt_delay(releases, self.scoped(self._receipts_all), self.lookup)
 
     @cached_property
     def late_deliveries(self) -> DataFrame:

@@ -86,3 +86,30 @@ def test_receipts_stay_dealt_out_by_order(spark, no_broadcast):
     exact = ExactDossier(tables_from_rows(spark, **golden_rows()))
     lines = exchanges(plan_text(exact.receipts_daily))
     assert any("IDCommande#" in line for line in lines) and not any("IDArticle" in line and "IDCommande#" in line for line in lines), lines
+
+
+def test_delay_deals_each_side_out_once(spark, no_broadcast):
+    """Releases, prices and receipts are shuffled by (campaign, order, reference) once each; the timeline of both sides
+    is not shuffled again, and receipts are those stored for the facts."""
+    exact = ExactDossier(tables_from_rows(spark, **golden_rows()))
+    exact.facts, exact.purchase_price_by_ref
+    text = plan_text(exact.release_to_receipt_delay)
+    by_key = [line for line in exchanges(text) if "IDCommande" in line]
+    assert len(by_key) == 3 and "IDTypeMouvement" not in text, by_key
+    between = text[text.index("Window ["):text.index("Union")]
+    assert "Exchange" not in between, between
+
+
+def test_delay_with_null_references(spark):
+    """A release without a reference has no delay, though a price and receipts of its order have none either."""
+    rows = golden_rows()
+    rows["article"] = [*rows["article"], ("A9", None, "F", "PIECE", None, 1)]
+    rows["commande_achat"] = [*rows["commande_achat"], ("PO1", 10, "A9", datetime(2024, 1, 4), 1.0, 2.0, 10), ("PO1", 10, "A1", datetime(2024, 1, 4), 1.0, 3.0, 10)]
+    rows["mouvement"] = [*rows["mouvement"], (25, "PO1", "A9", datetime(2024, 1, 20), 5.0, 2.0)]
+    rows["releases"] = [*rows["releases"], ("B1", "S1", "PO1", None, datetime(2024, 1, 2).date(), 1.0),
+                        ("B1", "S1", None, "R1-red", datetime(2024, 1, 2).date(), 1.0)]
+    exact = ExactDossier(tables_from_rows(spark, **rows))
+    null_refs = [r for r in exact.releases_valued.collect() if r[RFC] is None]
+    assert [r.PrixAchatPiece for r in null_refs] == [2.0]  # valued, as before
+    got = {(r[RFC], r.DateDeblocage.day) for r in exact.release_to_receipt_delay.collect()}
+    assert got == {("R1-red", 1), ("R1-red", 10)}
