@@ -113,3 +113,16 @@ def test_delay_with_null_references(spark):
     assert [r.PrixAchatPiece for r in null_refs] == [2.0]  # valued, as before
     got = {(r[RFC], r.DateDeblocage.day) for r in exact.release_to_receipt_delay.collect()}
     assert got == {("R1-red", 1), ("R1-red", 10)}
+
+
+def test_families_are_added_up_one_after_another(spark, monkeypatch):
+    """Each family's sums are stored by themselves before they are put side by side."""
+    exact = ExactDossier(tables_from_rows(spark, **golden_rows()))
+    exact.facts, exact.purchase_price_by_ref
+    sizes = []
+    monkeypatch.setattr(dossier, "stored", lambda df: sizes.append(len(exchanges(plan_text(df)))) or stored(df))
+    flows = exact._flows
+    assert len(sizes) == 1 + len(byref.FLOWS) and sizes[-1] == 1, sizes
+    want = byref.flows_wide({fam: byref.keyed_rows(flow, exact.lookup, byref.FLOWS[fam][0]) for fam, flow in (
+        ("release", exact.releases_valued), ("receipt", exact.receipts_daily), ("shipment", exact.shipments))})
+    assert flows.count() > 0 and sorted(map(str, flows.collect())) == sorted(map(str, want.select(*flows.columns).collect()))
